@@ -43,6 +43,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
+def shuffled(id_: Column) -> Column:
+    """A number that puts ids in a shuffled order: the first 60 bits of the MD5 of the id as text."""
+    return F.conv(F.substring(F.md5(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def source_targets(sizes: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """(source, source_size, target) from rows of (source, size); one row per source."""
     by_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -146,7 +151,7 @@ def _placed(rows: DataFrame, targets: DataFrame, block_words: int) -> DataFrame:
         .groupBy("_source", "_block")
         .agg(F.sum(F.when(F.col("_part") >= 1.0, 1).otherwise(0)).alias("_times"), F.sum(F.when(F.col("_part") < 1.0, F.col("_part")).otherwise(0.0)).alias("_fraction"))
     )
-    ordered = _offsets(rows.where("size > 0").withColumn("_order", F.xxhash64("_id", F.lit(17))), "size", "_start")
+    ordered = _offsets(rows.where("size > 0").withColumn("_order", shuffled(F.col("_id"))), "size", "_start")
     laid = ordered.drop("_order").join(_side(q, quotas), "_source")
     lo = F.expr("cast(((_start + 1) * _blocks - 1) div _total as bigint)")
     hi = F.expr("cast(((_start + size) * _blocks - 1) div _total as bigint)")
