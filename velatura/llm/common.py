@@ -54,3 +54,8 @@ def labelled_sample(labels: DataFrame, label: str, bound: int, keep: Column | No
     if n > bound:
         rows = rows.where(unit_hash(F.col("doc_id"), seed) < bound / n)
     return rows
+
+
+def small_side(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """``df``, marked for broadcast if it is counted to be ``rows`` short rows at most; else the join shuffles."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -31,7 +31,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, checkpointed
+from .common import WORD, checkpointed, small_side
 
 WEIGHTS = (3, 1, 2)
 GOLDEN = 0.6180339887498949
@@ -113,14 +113,14 @@ def schedule(quotas: DataFrame) -> DataFrame:
     cells = F.sequence(F.floor(F.col("_low") * _GRID), F.least(F.floor(F.col("_high") * _GRID), F.lit(_GRID - 1).cast("long")))
     stretches = quotas.select("_source", "_low", "_high", "_last", F.explode(cells).alias("_cell"))
     within = (F.col("_point") >= F.col("_low")) & ((F.col("_point") < F.col("_high")) | F.col("_last"))
-    drawn = slots.join(F.broadcast(stretches), (slots["_cell"] == stretches["_cell"]) & within) if _few(quotas) else slots.join(stretches, (slots["_cell"] == stretches["_cell"]) & within)
+    drawn = slots.join(small_side(stretches), (slots["_cell"] == stretches["_cell"]) & within)
     drawn = drawn.select("_source", "_slot", F.floor(F.col("_slot") / F.lit(_RUN)).alias("_run"))
     inner = Window.partitionBy("_source", "_run").orderBy("_slot")
     outer = Window.partitionBy("_source").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     counts = drawn.groupBy("_source", "_run").agg(F.count(F.lit(1)).alias("_n"))
     bases = counts.select("_source", "_run", F.coalesce(F.sum("_n").over(outer), F.lit(0)).alias("_base"))
     ranked = drawn.withColumn("_in", F.row_number().over(inner) - 1).join(bases, ["_source", "_run"]).select("_source", (F.col("_base") + F.col("_in")).alias("_rank"))
-    met = ranked.join(_side(quotas.select("_source", "_quota"), quotas), "_source").where(F.col("_rank") < F.col("_quota"))
+    met = ranked.join(small_side(quotas.select("_source", "_quota")), "_source").where(F.col("_rank") < F.col("_quota"))
     missing = (
         quotas.join(counts.groupBy("_source").agg(F.sum("_n").alias("_n")), "_source", "left")
         .withColumn("_n", F.coalesce("_n", F.lit(0)))
@@ -130,15 +130,6 @@ def schedule(quotas: DataFrame) -> DataFrame:
     return met.unionByName(missing).select("_source", "_rank", F.least(F.lit(1.0), F.col("_quota") - F.col("_rank")).alias("_part"))
 
 
-def _few(per_source: DataFrame) -> bool:
-    """Whether a table of one row per source is small enough to be broadcast (10 MB at most)."""
-    return per_source.count() <= 50_000
-
-
-def _side(df: DataFrame, per_source: DataFrame) -> DataFrame:
-    return F.broadcast(df) if _few(per_source) else df
-
-
 def _placed(rows: DataFrame, targets: DataFrame, block_words: int) -> DataFrame:
     """(_row, taken) of ``rows`` (_row, _id, _source, size): each document's overlap with the blocks taken."""
     quotas = checkpointed(_quotas(targets, block_words))
@@ -146,13 +137,13 @@ def _placed(rows: DataFrame, targets: DataFrame, block_words: int) -> DataFrame:
     q = quotas.select("_source", "_blocks", F.col("source_size").alias("_total"))
     # how often each block is taken whole, and the fraction of a last take
     taken = (
-        slots.join(_side(q, quotas), "_source")
+        slots.join(small_side(q), "_source")
         .select("_source", (F.col("_rank") % F.col("_blocks")).alias("_block"), "_part")
         .groupBy("_source", "_block")
         .agg(F.sum(F.when(F.col("_part") >= 1.0, 1).otherwise(0)).alias("_times"), F.sum(F.when(F.col("_part") < 1.0, F.col("_part")).otherwise(0.0)).alias("_fraction"))
     )
     ordered = _offsets(rows.where("size > 0").withColumn("_order", shuffled(F.col("_id"))), "size", "_start")
-    laid = ordered.drop("_order").join(_side(q, quotas), "_source")
+    laid = ordered.drop("_order").join(small_side(q), "_source")
     lo = F.expr("cast(((_start + 1) * _blocks - 1) div _total as bigint)")
     hi = F.expr("cast(((_start + size) * _blocks - 1) div _total as bigint)")
     parts = laid.withColumn("_block", F.explode(F.sequence(lo, hi)))
@@ -183,7 +174,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     placed = _placed(rows.select("_row", "_id", "_source", "size"), targets, block_words).select("_row", "taken")
     per = targets.select(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("_source"), "source_size", "target")
     return (
-        rows.join(_side(per, targets), "_source").join(placed, "_row", "left")
+        rows.join(small_side(per), "_source").join(placed, "_row", "left")
         .select(F.col("_id").alias("doc_id"), "size", "source_size", F.col("target").cast("double").alias("target"), F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
     )
 

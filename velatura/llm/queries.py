@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, mixing, neighbours, packing, simhash, toxicity
+from . import exact_dedup, langid, line_dedup, lm_score, mixing, neighbours, packing, quality, simhash, toxicity
 from .common import fold, table
 
 
@@ -20,6 +20,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_score.score(docs, *lm_score.train(docs))
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 4) == 2
@@ -31,6 +36,24 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_dedup.line_dedup(docs, F.col("source")).select("doc_id", "n_lines", "removed_lines", "text")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The site is the source, its paths are the source's languages."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold("doc_id", 5) == 0
+    classifier = quality.fit(docs, labels, ~held_out)
+    return quality.posteriors(docs, classifier, *site(docs)).withColumn("held_out", held_out)
+
+
+def site(docs: DataFrame) -> tuple[Column, Column]:
+    """Host and path of a document: the source up to its first slash, and all of it with the language as a section."""
+    return F.substring_index("source", "/", 1), F.concat_ws("/", "source", "lang")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -53,8 +76,11 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
+    "op3_lm_score": op3_lm_score,
     "op4_langid": op4_langid,
     "op5_simhash": op5_simhash,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
     "op10_neighbours": op10_neighbours,
@@ -112,3 +138,15 @@ x AS (
 SELECT d.doc_id, d.size, t.source_size, t.target, CAST(coalesce(x.taken, 0) AS BIGINT) AS taken
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN x ON d.doc_id = x.doc_id
 """
+
+ORACLE["op6_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, coalesce(source, '\x01') AS source, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(1, len(string_split(text, chr(10))))) AS pos FROM documents WHERE text IS NOT NULL),
+k AS (SELECT *, trim(line, chr(9) || chr(13) || ' ') AS cut FROM l),
+b AS (SELECT cut FROM k WHERE cut <> '' GROUP BY cut HAVING count(DISTINCT source) >= 8),
+c AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE b.cut IS NULL) AS text, count(*) AS n_lines, count(b.cut) AS removed_lines
+  FROM k LEFT JOIN b ON k.cut = b.cut GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(removed_lines, 0) AS INTEGER) AS removed_lines,
+  CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(c.text, '') END AS text FROM documents d LEFT JOIN c ON d.doc_id = c.doc_id
+"""
