@@ -12,8 +12,8 @@ of pieces, so memory is bounded whatever the partition holds, and a lot wastes a
 each of its windows. Sequence ids are (partition, number in it), the same whenever a task runs again.
 
 Tokens. Most texts consist of characters whose normalisation is known (ASCII without odd controls and the
-precomposed Latin-1 letters); their words are looked up in a table of words seen before, and only new words are
-encoded. Any other text goes through the tokenizer as a whole; both ways give the same ids.
+precomposed Latin-1 letters); what stands between white space is looked up in a table of what was met before, its words in
+another, and only new words are encoded. Any other text goes through the tokenizer as a whole; both ways give the same ids.
 
 Defined cases: null and empty texts are one piece holding the end id; rows that repeat a doc_id are documents of their own;
 an empty table gives an empty result; extra columns are not read.
@@ -21,12 +21,15 @@ an empty table gives an empty result; extra columns are not read.
 
 from __future__ import annotations
 
+import functools
+import json
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,62 +40,85 @@ LOT = 4_000_000  # tokens of pieces packed together: 16 MB of ids
 SLACK = 32
 SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
-_KNOWN = regex.compile("[\\t-\\r\\x20-\\x7eÀ-ÖØ-öø-ÿ]*+")
-_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+_KNOWN = re.compile("[\\t-\\r\\x20-\\x7eÀ-ÖØ-öø-ÿ]*+")
+# of known characters: contractions, runs of letters, digits one by one, runs of the others but white space
+_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)} | {32: " "}
 
 
 class WordTable:
-    """ids of texts under a tokenizer of words with end marks, words being kept once encoded."""
+    """ids of texts under a tokenizer of words with end marks, words being kept once encoded.
 
-    def __init__(self, path: str, size: int = 300_000) -> None:
+    New words go through the tokenizer's own merges, without its normalisation and splitting, which they have behind them.
+    """
+
+    def __init__(self, path: str, size: int = 600_000) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = size
         self.words: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+        parts = json.loads(self.tokenizer.to_str())
+        self.merges = Tokenizer.from_str(json.dumps(parts | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}))
+        self.letters = _byte_letters()
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
             self.ends[i] = token.endswith("</w>")
         self.special = tuple(t for t in self.tokenizer.get_vocab(with_added_tokens=True) if t not in vocabulary)
         # the short way holds only for this kind of tokenizer
-        self.by_word = all(self._whole(x) == self._short(x) for x in ("It's 10 o'clock, d'été-Übung!!  A\tB", "x"))
+        trial = ("It's 10 o'clock, d'été-Übung!!  A_B\tc", "x", "")
+        self.by_word = True
+        self.by_word = self.ids(list(trial)) == [self._whole(x) for x in trial]
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _short(self, text: str) -> bytes:
-        words = _WORDS.findall(text.lower())
-        table = self.words
-        try:
-            return b"".join(map(table.__getitem__, words))
-        except KeyError:
-            self._learn(words)
-            return b"".join(map(self.words.__getitem__, words))
+    def _learn(self, new: list[str]) -> None:
+        """Put new words into the table."""
+        ids = np.array(self.merges.encode_batch_fast([" ".join(new).encode().decode("latin-1").translate(self.letters)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+        if len(ends) == len(new):
+            raw = ids.tobytes()
+            self.words.update(zip(new, map(raw.__getitem__, map(slice, [0, *ends], ends))))
+        else:
+            self.words.update((w, self._whole(w)) for w in new)
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn_runs(self, new: list[str]) -> None:
+        """Put new runs of anything but white space into the table: their words' ids in a row."""
         if len(self.words) > self.size:
             self.words.clear()
-            new = list(dict.fromkeys(words))
-        else:
-            table = self.words
-            new = list(dict.fromkeys(w for w in words if w not in table))
-        ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) == len(new) and ends[-1] == len(ids):
-            at = 0
-            for w, to in zip(new, ends.tolist()):
-                self.words[w] = ids[at:to].tobytes()
-                at = to
-        else:
-            for w in new:
-                self.words[w] = self._whole(w)
-
-    def ids(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        if self.by_word and _KNOWN.fullmatch(text) and not any(s in text for s in self.special):
-            return self._short(text)
-        return self._whole(text)
+        words = list(map(_WORDS.findall, new))
+        if unseen := set().union(*words).difference(self.words):
+            self._learn(sorted(unseen))
+        get = self.words.__getitem__
+        self.runs.update(zip(new, [get(w[0]) if len(w) == 1 else b"".join(map(get, w)) for w in words]))
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        short = [self.by_word and _KNOWN.fullmatch(t) is not None and not any(s in t for s in self.special) for t in texts]
+        runs = [t.lower().split() if ok else () for t, ok in zip(texts, short)]
+        met = set().union(*runs)
+        if len(self.runs) > self.size:
+            self.runs.clear()
+        if new := met.difference(self.runs):
+            self._learn_runs(list(new))
+        get = self.runs.__getitem__
+        return [b"".join(map(get, r)) if ok else self._whole(t) for t, ok, r in zip(texts, short, runs)]
+
+
+@functools.cache
+def word_table(path: str) -> WordTable:
+    """One table per worker process, which the tasks that it runs share; it holds ``size`` words and runs at most."""
+    return WordTable(path)
 
 
 class OpenWindows:
@@ -165,6 +191,17 @@ def cut(lengths: list[int], pieces: list[int], window: int, slack: int) -> Itera
         yield sequence
 
 
+def _encoded(b: pd.DataFrame, table: WordTable, tail: bytes, most: int = 1 << 19) -> Iterator[tuple]:
+    """(doc_id, ids with the end id) of each row; about ``most`` characters are encoded at a time."""
+    docs, texts = b["doc_id"].tolist(), [t or "" for t in b["text"].tolist()]
+    first = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= most or i == len(texts) - 1:
+            yield from zip(docs[first : i + 1], [x + tail for x in table.ids(texts[first : i + 1])])
+            first, size = i + 1, 0
+
+
 def pack(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end: int = END, window: int = WINDOW, lot: int = LOT, slack: int = SLACK
 ) -> DataFrame:
@@ -174,7 +211,7 @@ def pack(
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = WordTable(tokenizer)
+        table = word_table(tokenizer)
         tail = np.array([end], "<u4").tobytes()
         number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         rows: list[tuple] = []
@@ -201,8 +238,7 @@ def pack(
             return frame
 
         for b in batches:
-            for doc, text in zip(b["doc_id"].tolist(), b["text"].tolist()):
-                ids = (table.ids(text) if text else b"") + tail
+            for doc, ids in _encoded(b, table, tail):
                 n = len(ids) // 4
                 full = n // window
                 for k in range(full):
