@@ -302,19 +302,18 @@ def chunk_slices(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""{_PIECES_SQL}, run AS (SELECT *, a - coalesce(max(b) OVER (PARTITION BY doc_id, start, "end", type ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), start) AS gap FROM piece)
-SELECT s.doc_id, s.start, s."end", s.type, coalesce(max(r.gap) <= 0 AND max(r.b) >= s."end", false) AS covered
-FROM (SELECT DISTINCT doc_id, start, "end", type FROM spans) s LEFT JOIN run r ON s.doc_id = r.doc_id AND s.start = r.start AND s."end" = r."end" AND s.type = r.type GROUP BY ALL""")
+SELECT s.doc_id, s.start, s."end", s.type, coalesce(bool_and(r.gap <= 0) AND bool_or(r.b >= s."end"), false) AS covered
+FROM (SELECT DISTINCT doc_id, start, "end", type FROM spans) s LEFT JOIN run r ON s.doc_id = r.doc_id AND s.start = r.start AND s."end" = r."end" AND s.type = r.type GROUP BY s.doc_id, s.start, s."end", s.type""")
 def chunk_coverage(spark: SparkSession, d: str) -> DataFrame:
     found = rule_spans(spark, d).select("doc_id", "start", "end", "type").distinct()
     return spans.coverage(found, _windows(spark, d), DOC)
 
 
-@query(f"""WITH {DOCS_SQL}, p AS (SELECT doc_id, text, unnest(range(0, 40)) AS at FROM docs WHERE text IS NOT NULL)
-SELECT doc_id, CAST(at AS INTEGER) AS at, at <= 0 OR at >= length(text) OR NOT (regexp_matches(substring(text, at, 1), '{_WORDLY}') AND regexp_matches(substring(text, at + 1, 1), '{_WORDLY}')) AS boundary FROM p""")
+@query(f"""WITH {DOCS_SQL}, p AS (SELECT doc_id, text, unnest(range(0, 40)) AS place FROM docs WHERE text IS NOT NULL)
+SELECT doc_id, CAST(place AS INTEGER) AS place, place <= 0 OR place >= length(text) OR NOT (regexp_matches(substring(text, place, 1), '{_WORDLY}') AND regexp_matches(substring(text, place + 1, 1), '{_WORDLY}')) AS boundary FROM p""")
 def word_boundaries(spark: SparkSession, d: str) -> DataFrame:
-    at = F.explode(F.sequence(F.lit(0), F.lit(39))).alias("at")
-    rows = docs(spark, d).where("text is not null").select("doc_id", "text", at)
-    return rows.select("doc_id", "at", tx.is_word_boundary(F.col("text"), F.col("at")).alias("boundary"))
+    rows = docs(spark, d).where("text is not null").select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.lit(39))).alias("place"))
+    return rows.select("doc_id", "place", tx.is_word_boundary(F.col("text"), F.col("place")).alias("boundary"))
 
 
 # --- from labels to spans ----------------------------------------------------------------------------
@@ -363,7 +362,7 @@ def merge_scored(spark: SparkSession, d: str) -> DataFrame:
 # spans of made-up confidence on a grid, so that types overlap: of tokens taken three at a time
 _CROSS_SQL = MARKED_SQL + f""",
 cross_spans AS (
-  SELECT doc_id, start, start + 3 + ((tok_idx * 11) % 17) AS "end", ({LABELS_SQL})[(tok_idx * 5) % 13 * 2 + 2][3:] AS type, ((tok_idx * 37) % 19) / 20.0::DOUBLE AS confidence, 1 + tok_idx % 3 AS n_tokens
+  SELECT doc_id, start, start + 3 + ((tok_idx * 11) % 17) AS "end", ({LABELS_SQL})[(tok_idx * 5) % 13 * 2 + 2][3:] AS type, ((tok_idx * 37) % 19) / 20.0::DOUBLE AS confidence, 1 + (tok_idx // 3) % 3 AS n_tokens
   FROM marked WHERE "end" > 0 AND tok_idx % 3 = 0)"""
 
 
@@ -371,7 +370,7 @@ def _cross(spark: SparkSession, d: str) -> DataFrame:
     rows = marked(spark, d).where("`end` > 0 and tok_idx % 3 = 0")
     kinds = F.get(F.array(*map(F.lit, tax.TYPES)), F.expr("cast((tok_idx * 5) % 13 as int)"))
     return rows.select(
-        "doc_id", "start", F.expr("start + 3 + ((tok_idx * 11) % 17)").alias("end"), kinds.alias("type"), (F.expr("(tok_idx * 37) % 19") / F.lit(20.0)).alias("confidence"), F.expr("1 + tok_idx % 3").alias("n_tokens")
+        "doc_id", "start", F.expr("start + 3 + ((tok_idx * 11) % 17)").alias("end"), kinds.alias("type"), (F.expr("(tok_idx * 37) % 19") / F.lit(20.0)).alias("confidence"), F.expr("cast(1 + (tok_idx div 3) % 3 as int)").alias("n_tokens")
     )
 
 
@@ -556,13 +555,13 @@ def viterbi_labels(spark: SparkSession, d: str) -> DataFrame:
 
 _PAIRS_SQL = f"""{_GOLD_SQL},{_ROW_TOKENS}{_TOUCH.format("gold")}{_TAGS.format("touch")},
 gl AS (SELECT t.row_id, t.tok_idx, t.start, t."end", {_IDS_SQL} AS gold_id FROM tok t LEFT JOIN tag ON t.row_id = tag.row_id AND t.tok_idx = tag.tok_idx),
-pairs AS (SELECT row_id, tok_idx, start, "end", gold_id, CASE WHEN (row_id + tok_idx) % 11 = 0 THEN CAST((tok_idx * 7) % 27 AS INTEGER) WHEN (row_id + tok_idx) % 7 = 0 THEN 0 ELSE gold_id END AS pred_id FROM gl)"""
+pairs AS (SELECT row_id, tok_idx, start, "end", gold_id, CASE WHEN row_id % 9 = 4 THEN 0 WHEN (row_id + tok_idx) % 11 = 0 THEN CAST((tok_idx * 7) % 27 AS INTEGER) WHEN (row_id + tok_idx) % 7 = 0 THEN 0 ELSE gold_id END AS pred_id FROM gl)"""
 _PII_IDS = "(" + ", ".join(map(str, evaluate.PII_IDS)) + ")"
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
     gold = spans.gold_labels(_row_tokens(spark, d), spans.gold_spans(entities(spark, d), ROW), ROW)
-    pred = F.when((F.col("row_id") + F.col("tok_idx")) % 11 == 0, F.expr("cast((tok_idx * 7) % 27 as int)")).when((F.col("row_id") + F.col("tok_idx")) % 7 == 0, 0).otherwise(F.col("label_id"))
+    pred = F.when(F.col("row_id") % 9 == 4, 0).when((F.col("row_id") + F.col("tok_idx")) % 11 == 0, F.expr("cast((tok_idx * 7) % 27 as int)")).when((F.col("row_id") + F.col("tok_idx")) % 7 == 0, 0).otherwise(F.col("label_id"))
     return gold.select("row_id", "tok_idx", "start", "end", F.col("label_id").alias("gold_id"), pred.alias("pred_id"))
 
 
