@@ -8,27 +8,48 @@ from pyspark.sql import functions as F
 from .text import digits, let
 
 # Per type the prefixes that are stripped from a value, in order; upper and lower case alike.
-_NO = r"(?:\s+n[º°.]*)?"
 PREFIXES: dict[str, tuple[str, ...]] = {
     "ID_PROCESSUAL": (
-        rf"^processo(?:\s+sei)?{_NO}\s*", rf"^sei{_NO}\s*", rf"^protocolo{_NO}\s*", rf"^edital{_NO}\s*", rf"^portaria{_NO}\s*",
-        rf"^boletim(?:\s+de\s+ocorrência)?{_NO}\s*", rf"^auto(?:\s+de\s+infração)?{_NO}\s*", rf"^matrícula{_NO}\s*",
-        rf"^inscrição(?:\s+imobiliária)?{_NO}\s*", r"^n[º°.]+\s*",
+        r"^processo(?:\s+sei)?(?:\s+n[º°.]*)?\s*",
+        r"^sei(?:\s+n[º°.]*)?\s*",
+        r"^protocolo(?:\s+n[º°.]*)?\s*",
+        r"^edital(?:\s+n[º°.]*)?\s*",
+        r"^portaria(?:\s+n[º°.]*)?\s*",
+        r"^boletim(?:\s+de\s+ocorrência)?(?:\s+n[º°.]*)?\s*",
+        r"^auto(?:\s+de\s+infração)?(?:\s+n[º°.]*)?\s*",
+        r"^matrícula(?:\s+n[º°.]*)?\s*",
+        r"^inscrição(?:\s+imobiliária)?(?:\s+n[º°.]*)?\s*",
+        r"^n[º°.]+\s*",
+    ),
+    "DOC_PROFISSIONAL": (
+        r"^matrícula(?:\s+n[º°.]*)?\s*",
+        r"^mat\.?\s*",
+        r"^rgp(?:\s+n[º°.]*)?\s*",
+        r"^registro(?:\s+profissional)?(?:\s+n[º°.]*)?\s*",
+        r"^inscrição(?:\s+n[º°.]*)?\s*",
     ),
-    "DOC_PROFISSIONAL": (rf"^matrícula{_NO}\s*", r"^mat\.?\s*", rf"^rgp{_NO}\s*", rf"^registro(?:\s+profissional)?{_NO}\s*", rf"^inscrição{_NO}\s*"),
     "DADO_FINANCEIRO": (
-        r"^agência\s*", r"^agencia\s*", r"^ag\.\s*", rf"^conta(?:\s+corrente|\s+poupança)?{_NO}\s*", r"^chave(?:\s+pix)?(?::)?\s*", r"^pix(?::)?\s*",
+        r"^agência\s*",
+        r"^agencia\s*",
+        r"^ag\.\s*",
+        r"^conta(?:\s+corrente|\s+poupança)?(?:\s+n[º°.]*)?\s*",
+        r"^chave(?:\s+pix)?(?::)?\s*",
+        r"^pix(?::)?\s*",
         r"^banco(?:\s+do\s+brasil|\s+itaú)?\s+(?:agência|ag\.?)\s*",
     ),
     "ID_VEICULO": (r"^placa(?::)?\s*", r"^renavam(?::)?\s*", r"^chassi(?::)?\s*"),
     "DOC_PESSOAL": (r"^cpf(?::)?\s*", r"^rg(?::)?\s*", r"^cnh(?::)?\s*", r"^título(?:\s+de\s+eleitor)?(?::)?\s*"),
     "DOC_EMPRESA": (
-        r"^cnpj(?::)?\s*", r"^inscri[cç][aã]o\s+estadual(?::)?\s*", r"^inscri[cç][aã]o\s+municipal(?::)?\s*",
-        r"^i[.\s-]*e[.\s-]*(?::)?\s*", r"^i[.\s-]*m[.\s-]*(?::)?\s*", r"^isento(?::)?\s*",
+        r"^cnpj(?::)?\s*",
+        r"^inscri[cç][aã]o\s+estadual(?::)?\s*",
+        r"^inscri[cç][aã]o\s+municipal(?::)?\s*",
+        r"^i[.\s-]*e[.\s-]*(?::)?\s*",
+        r"^i[.\s-]*m[.\s-]*(?::)?\s*",
+        r"^isento(?::)?\s*",
     ),
     "CONTATO": (r"^tel(?:efone)?(?::)?\s*", r"^cel(?:ular)?(?::)?\s*", r"^e-?mail(?::)?\s*", r"^whatsapp(?::)?\s*"),
     "ORG_JURIDICA": (r"^raz[aã]o\s+social(?::)?\s*", r"^empresa(?::)?\s*", r"^órg[aã]o(?::)?\s*", r"^org[aã]o(?::)?\s*"),
-}
+}
 STRIPPED = " :.-,"
 # Forms of company identifiers, and of their keywords in what stands before.
 CNPJ = r"\d{2}\.?\d{3}\.?\d{3}/?\d{4}-?\d{2}"
