@@ -3,7 +3,9 @@
 Each line (trimmed of spaces and tabs, not empty) is a 96-bit hash. Per hash a HyperLogLog sketch of the sites is
 aggregated, with map-side combine, as the aggregate approx_count_distinct does. Lines whose estimate
 lies far above ``min_sites`` are boilerplate, those far below are not; the ones between, within ``margin``
-times the threshold, have their sites counted exactly. The margin is over four standard errors of the sketch.
+times the threshold, have their sites counted exactly. Under the default threshold no line on fewer sites can pass the upper bound
+(seven sites fill seven registers at most, which is estimated as 9), and one on more can stay under the lower
+one only if all its sites share one of the 16 registers (less than once in 10**8).
 
 Scale. The texts are read twice or three times and never shuffled: what moves is (hash, sketch) once per
 task and distinct line, the (hash, site) pairs of near-threshold lines, and the places of the lines to drop. A line that a
@@ -20,11 +22,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, small_side
 
 MIN_SITES = 8
-ERROR = 0.2  # standard error of a sketch
+ERROR = 0.3  # asked of the sketch: 16 registers, two machine words a line
 MARGIN = 0.85
+BROADCAST = 500_000  # lines of 16 bytes that a join may broadcast; beyond that it shuffles
 
 
 def _hashes(docs: DataFrame, text_col: str, *keep: Column) -> DataFrame:
@@ -42,7 +45,7 @@ def boilerplate(docs: DataFrame, site: Column, text_col: str = "text", min_sites
     wide = checkpointed(spread.where(F.col("_n") >= min_sites * (1 - margin)).where(F.col("_n") > (1 if min_sites > 1 else 0)))
     sure = wide.where(F.col("_n") > min_sites * (1 + margin)).select("_h1", "_h2")
     near = wide.where(F.col("_n") <= min_sites * (1 + margin)).select("_h1", "_h2")
-    exact = lines.select("_h1", "_h2", "_site").join(near, ["_h1", "_h2"], "left_semi").distinct()
+    exact = lines.select("_h1", "_h2", "_site").join(small_side(near, BROADCAST), ["_h1", "_h2"], "left_semi").distinct()
     counted = exact.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
     return sure.unionByName(counted.where(F.col("_n") >= min_sites).select("_h1", "_h2"))
 
@@ -50,7 +53,7 @@ def boilerplate(docs: DataFrame, site: Column, text_col: str = "text", min_sites
 def line_dedup(docs: DataFrame, site: Column, id_col: str = "doc_id", text_col: str = "text", min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` with the boilerplate lines taken out of the text, and ``n_lines``, ``removed_lines``."""
     gone = checkpointed(boilerplate(docs, site, text_col, min_sites))
-    places = _hashes(docs, text_col, F.col(id_col).alias("_ld_id")).join(gone, ["_h1", "_h2"], "left_semi")
+    places = _hashes(docs, text_col, F.col(id_col).alias("_ld_id")).join(small_side(gone, BROADCAST), ["_h1", "_h2"], "left_semi")
     places = places.groupBy("_ld_id").agg(F.collect_set("_pos").alias("_ld_gone"))
     joined = docs.join(places, F.col(id_col).eqNullSafe(F.col("_ld_id")), "left")
     lines = F.split(F.col(text_col), "\n")

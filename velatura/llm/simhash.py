@@ -19,6 +19,9 @@ union-find and gives the connected sets as trees of bounded degree instead of al
 group of k fingerprints makes at most k - 1 rows per shard. Components are then found over those edges by alternating
 large-star and small-star steps.
 
+``simhash_dedup`` drops near copies by the similarity of their five-word shingles. As the fingerprints of such texts differ in more
+bits than Hamming search can reach, MinHash bands give candidates beside the fingerprints, and all are decided by the exact similarity.
+
 Defined cases: null texts have no words (fingerprint 0, linked like any other); ties and repeated rows
 share a node; an empty table gives an empty result; extra columns are not read by ``simhash_components`` and all
 kept by ``simhash_dedup``.
@@ -34,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, unit_hash
+from .common import checkpointed, small_side, unit_hash
 from .components import connected_components, tree_edges
 
 RADIUS = 3
@@ -44,21 +47,29 @@ LEAF = 256  # home fingerprints in a leaf
 _MASKS = (np.uint64(0xFFFFFFFF00000000), np.uint64(0x00000000FFFFFFFF))
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """The 64-bit SimHash of one text."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of the text's word shingles, repeats included."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return 0
     n = len(words) - shingle + 1
-    grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if n > 0 else [b" ".join(words)]
-    n = max(n, 1)
+    if n <= 0:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), 42)] if words else [], np.uint64)
+    grams = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
     digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(g, 42) for g in grams), np.uint64, n)
+
+
+def majority(h: np.ndarray) -> int:
+    """The number whose bits are set where over half of the hashes have them set."""
     ones = np.zeros(64, np.int64)
-    h = np.fromiter((digest(g, 42) for g in grams), np.uint64, n)
-    for at in range(0, n, 1 << 16):  # 4 MB of bits at a time
+    for at in range(0, len(h), 1 << 16):  # 4 MB of bits at a time
         part = h[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
+    return int.from_bytes(np.packbits(2 * ones > len(h)).tobytes(), "big") if len(h) else 0
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """The 64-bit SimHash of one text."""
+    return majority(shingle_hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -210,64 +221,98 @@ def links(nodes: DataFrame, sample: int = SAMPLE, shard: int = SHARD) -> DataFra
     return spread.groupBy("shard").applyInPandas(search, "src long, dst long")
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fingerprint, component_id), one row per row of ``docs``; ids are integers."""
-    marked = checkpointed(fingerprints(docs, id_col, text_col, shingle))
+def _components(marked: DataFrame) -> DataFrame:
+    """(doc_id, fp, component_id) from (doc_id, fp)."""
     nodes = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").cast("long").alias("node")).where("node is not null"))
     component = connected_components(checkpointed(links(nodes)))
     label = nodes.join(component, "node").select("fp", "component")
     # nodes outside every link are their own component; one fingerprint may hold a third of all rows, which the
     # skew handling of the sort-merge join splits
-    per = nodes.join(label, "fp", "left").select(F.col("fp").alias("_fp"), F.coalesce("component", "node").alias("_component"))
-    return marked.join(per, F.col("fp") == F.col("_fp"), "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("_component").alias("component_id"))
+    per = nodes.join(label, "fp", "left").select(F.col("fp").alias("_fp"), F.coalesce("component", "node").alias("component_id"))
+    return marked.select("doc_id", "fp").join(per, F.col("fp") == F.col("_fp"), "left").drop("_fp")
 
 
-def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group of near copies the one with the smallest id.
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """(doc_id, fingerprint, component_id), one row per row of ``docs``; ids are integers."""
+    found = _components(checkpointed(fingerprints(docs, id_col, text_col, shingle)))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
-    Groups are those of ``near_groups``. Documents that form no group stay without being looked at again.
-    """
-    groups = near_groups(docs, id_col, text_col, shingle, least)
-    gone = groups.where("doc_id <> group_id").select(F.col("doc_id").alias("_sd_gone"))
-    kept = docs.join(gone, F.col(id_col) == F.col("_sd_gone"), "left_anti")
-    return kept.select(*docs.columns)
 
+# --- near copies by shingle similarity -----------------------------------------------------------
+#
+# Texts whose sets of five-word shingles have a Jaccard similarity of 0.8 lie 4 to 14 bits apart, where no
+# search by Hamming distance prunes anything. Their candidates therefore come from MinHash bands as well.
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
-    """(doc_id, group_id) of the documents whose fingerprint component holds others, group_id its smallest doc_id.
+BANDS, ROWS = 16, 4  # a pair of similarity 0.8 shares none of the bands once in 5000
+_RNG = np.random.default_rng(64)
+_FACTORS = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """One 64-bit key for each band of the MinHash signature of a set of shingle hashes."""
+    if not len(hashes):
+        return [0]
+    least = np.array([(hashes * a + b).min() for a, b in zip(_FACTORS, _SHIFTS)], np.uint64).reshape(BANDS, ROWS)
+    return [xxhash.xxh64_intdigest(row.tobytes(), k) - (1 << 63) for k, row in enumerate(least)]
 
-    A component is a chain of links, so its ends may differ. Each document is therefore held against the
-    document with the smallest id of its component and stays in the group if the share of common word shingles (Jaccard,
-    ``shingle`` words, as sets) is ``least`` or more. Texts of fewer words are compared as one shingle; texts without
-    words are equal to one another.
+
+def _marks(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(doc_id, fp, keys)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            hashes = [shingle_hashes(t, shingle) for t in b["text"]]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": np.array([majority(h) for h in hashes], np.uint64).view(np.int64), "keys": [band_keys(h) for h in hashes]})
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, "doc_id long, fp long, keys array<long>")
+
+
+def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
+    """(a, b), distinct: each document with the smallest id of its fingerprint component and of each of its bands, itself left out."""
+    marked = checkpointed(_marks(docs.where(F.col(id_col).isNotNull()), id_col, text_col, shingle))
+    by_bits = _components(marked).select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
+    bands = marked.select("doc_id", F.explode("keys").alias("key"))
+    heads = bands.groupBy("key").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("_last")).where("b <> _last").drop("_last")
+    by_bands = bands.join(heads, "key").select(F.col("doc_id").alias("a"), "b")
+    return checkpointed(by_bits.unionByName(by_bands).where("a <> b").distinct())
+
+
+def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """(src, dst): candidates whose sets of word shingles have a Jaccard similarity of ``least`` or more.
+
+    A text of fewer words is one shingle; texts without words are equal to one another.
     """
-    found = checkpointed(simhash_components(docs.where(F.col(id_col).isNotNull()), id_col, text_col, shingle))
-    sizes = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    members = found.join(sizes, "component_id", "left_semi").select("doc_id", F.col("component_id").alias("group_id"))
-    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    # the texts of grouped documents only, and once more those of their heads
-    own = members.join(texts, F.col("doc_id") == F.col("_id")).select("doc_id", "group_id", "_text")
-    heads = members.where("doc_id = group_id").select(F.col("group_id").alias("_head")).join(texts, F.col("_head") == F.col("_id")).select("_head", F.col("_text").alias("_head_text"))
-    pairs = own.join(heads, F.col("group_id") == F.col("_head"))
-
-    def shingles(t: str | None) -> set[int]:
-        words = t.encode("utf-8", "surrogatepass").lower().split() if t else []
-        if len(words) < shingle:
-            return {xxhash.xxh64_intdigest(b" ".join(words), 42)} if words else set()
-        return {xxhash.xxh64_intdigest(b" ".join(g), 42) for g in zip(*(words[i:] for i in range(shingle)))}
+    pairs = candidates(docs, id_col, text_col, shingle)
+    ids = checkpointed(pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct())
+    # only texts of candidates move; a head that very many others point to is split by the skew handling
+    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).join(small_side(ids, 500_000), "_id")
+    texts = texts.groupBy("_id").agg(F.max("_text").alias("_text"))
+    own = pairs.join(texts.select(F.col("_id").alias("a"), F.col("_text").alias("_a_text")), "a")
+    both = own.join(texts.select(F.col("_id").alias("b"), F.col("_text").alias("_b_text")), "b").select("a", "b", "_a_text", "_b_text")
 
     def like(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, of_last = object(), set()
-        for b in batches:
+        last, of_last = None, np.empty(0, np.uint64)
+        for p in batches:
             alike = []
-            for d, g, t, head in zip(b["doc_id"], b["group_id"], b["_text"], b["_head_text"]):
-                if d == g or t == head:
-                    alike.append(True)
-                    continue
-                if g != last:
-                    last, of_last = g, shingles(head)
-                own = shingles(t)
-                alike.append(len(own & of_last) >= least * len(own | of_last))
-            yield b[["doc_id", "group_id"]][np.array(alike, bool)]
-
-    return pairs.mapInPandas(like, "doc_id long, group_id long")
+            for b, x, y in zip(p["b"], p["_a_text"], p["_b_text"]):
+                if b != last:
+                    last, of_last = b, np.unique(shingle_hashes(y, shingle))
+                own = np.unique(shingle_hashes(x, shingle))
+                common = len(np.intersect1d(own, of_last, assume_unique=True))
+                alike.append(common >= least * (len(own) + len(of_last) - common))
+            yield pd.DataFrame({"src": p["a"], "dst": p["b"]})[np.array(alike, bool)]
+
+    return both.mapInPandas(like, "src long, dst long")
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """(doc_id, group_id) of the documents that a chain of near links joins with others, group_id their smallest doc_id."""
+    found = connected_components(checkpointed(near_links(docs, id_col, text_col, shingle, least)))
+    return found.select(F.col("node").alias("doc_id"), F.col("component").alias("group_id"))
+
+
+def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` that stay: of each group of near copies the one with the smallest id; rows with a null id stay."""
+    gone = checkpointed(near_groups(docs, id_col, text_col, shingle, least).where("doc_id <> group_id").select(F.col("doc_id").alias("_sd_gone")))
+    return docs.join(small_side(gone, 500_000), F.col(id_col) == F.col("_sd_gone"), "left_anti").select(*docs.columns)
