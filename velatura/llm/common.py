@@ -59,3 +59,14 @@ def labelled_sample(labels: DataFrame, label: str, bound: int, keep: Column | No
 def small_side(df: DataFrame, rows: int = 50_000) -> DataFrame:
     """``df``, marked for broadcast if it is counted to be ``rows`` short rows at most; else the join shuffles."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def in_batches(df: DataFrame, rows: int = 512) -> DataFrame:
+    """``df``, to be handed to Python in batches of at most ``rows`` rows.
+
+    Spark's default of 10,000 rows a batch is 1.2 GB of texts of 120 KB; the session's setting is only ever lowered.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key, "10000")) <= rows:
+        conf.set(key, str(rows))
+    return df

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, unit_hash
+from .common import checkpointed, in_batches, unit_hash
 
 DIM = 4096
 CENTROIDS = 4
@@ -115,7 +115,7 @@ def fit(docs: DataFrame, keep: Column | None = None, id_col: str = "doc_id", tex
                 at_ = [np.flatnonzero(r) for r in c]
                 yield pd.DataFrame({"lang": part["lang"].to_numpy(), "at": at_, "n": [r[i] for r, i in zip(c, at_)]})
 
-    vectors = checkpointed(some.mapInPandas(sparse, "lang string, at array<int>, n array<float>"))
+    vectors = checkpointed(in_batches(some).mapInPandas(sparse, "lang string, at array<int>, n array<float>"))
     total = vectors.count()
     df = np.zeros(DIM)
     for r in vectors.select(F.explode("at").alias("at")).groupBy("at").count().collect():  # DIM rows at most
@@ -164,4 +164,4 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "lang_nearest": lang, "score": score, "rejected": far})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, f"doc_id {kind}, lang_nearest string, score double, rejected boolean")
+    return in_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInPandas(run, f"doc_id {kind}, lang_nearest string, score double, rejected boolean")

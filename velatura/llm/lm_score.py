@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, in_batches
 from .toxicity import words
 
 CLASSES = 32
@@ -67,7 +67,7 @@ def vocabulary(docs: DataFrame, text_col: str = "text", known: int = KNOWN) -> t
                 count.clear()
         yield out()
 
-    counts = checkpointed(docs.select(text_col).mapInPandas(run, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")))
+    counts = checkpointed(in_batches(docs.select(text_col)).mapInPandas(run, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")))
     top = counts.orderBy(F.desc("n"), "w").limit(known).collect()
     listed = [bytes(r["w"]) for r in top]
     place = {w: i + 1 for i, w in enumerate(listed)}
@@ -229,7 +229,7 @@ def train(docs: DataFrame, text_col: str = "text", stride: int = STRIDE, rounds:
             return pd.DataFrame({"chunk": b["chunk"].iloc[:1], "salt": b["salt"].iloc[:1], "n": [b["n"].sum()], "x": [np.sum(np.stack(b["x"].to_list()), axis=0)]})
 
         schema = "chunk int, salt int, n double, x array<double>"
-        copies = docs.select(text_col).mapInPandas(run, schema)
+        copies = in_batches(docs.select(text_col)).mapInPandas(run, schema)
         summed = copies.groupBy("chunk", "salt").applyInPandas(add, schema).groupBy("chunk").applyInPandas(add, schema)
         rows = sorted(summed.collect(), key=lambda r: r["chunk"])  # one network
         if rows:
@@ -257,4 +257,4 @@ def score(docs: DataFrame, vocab: Vocabulary, net: Network, id_col: str = "doc_i
                 yield pd.DataFrame({"doc_id": b["doc_id"].iloc[a:z], "n_tokens": lengths, "log_likelihood": total, "mean_log_likelihood": pd.array(mean, dtype="Float64")})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, f"doc_id {kind}, n_tokens long, log_likelihood double, mean_log_likelihood double")
+    return in_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInPandas(run, f"doc_id {kind}, n_tokens long, log_likelihood double, mean_log_likelihood double")

@@ -34,6 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_batches
+
 END = 2
 WINDOW = 4096
 LOT = 4_000_000  # tokens of pieces packed together: 16 MB of ids
@@ -68,6 +70,8 @@ class WordTable:
         self.runs: dict[str, bytes] = {}
         parts = json.loads(self.tokenizer.to_str())
         self.merges = Tokenizer.from_str(json.dumps(parts | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}))
+        if hasattr(self.merges.model, "_resize_cache"):
+            self.merges.model._resize_cache(0)  # words come here once
         self.letters = _byte_letters()
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -256,4 +260,4 @@ def pack(
         yield out()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, f"doc_id {kind}, {SCHEMA}")
+    return in_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInPandas(run, f"doc_id {kind}, {SCHEMA}")

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, labelled_sample, small_side
+from .common import checkpointed, in_batches, labelled_sample, small_side
 
 EXAMPLES = 12_000
 _UPPER = bytes(range(65, 91))
@@ -92,7 +92,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column | None = None, id_col:
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "y": b[label], "x": [features(t) for t in b["text"]]})
 
-    rows = texts.mapInPandas(run, "doc_id long, y int, x array<double>").orderBy("doc_id").collect()  # ``bound`` rows of numbers
+    rows = in_batches(texts).mapInPandas(run, "doc_id long, y int, x array<double>").orderBy("doc_id").collect()  # ``bound`` rows of numbers
     y = np.array([r["y"] for r in rows], np.float64)
     if len(set(y.tolist())) < 2:
         return Classifier(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES + 1), 0.5)
@@ -127,14 +127,14 @@ def _judged(docs: DataFrame, classifier: Classifier, host: Column, path: Column,
     """``docs`` with ``_q_host``, ``_q_path`` and ``_q_evidence``."""
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            x = np.array([features(t) for t in b[text_col]]).reshape(-1, FEATURES)
-            yield b.assign(_q_evidence=shared.value.evidence(x))
+    @F.pandas_udf("double")
+    def evidence(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for t in texts:
+            yield pd.Series(shared.value.evidence(np.array([features(x) for x in t]).reshape(-1, FEATURES)))
 
-    sited = docs.withColumns({"_q_host": host.cast("string"), "_q_path": path.cast("string")})
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sited.schema)
-    return sited.mapInPandas(run, schema + ", _q_evidence double")
+    # the texts go to Python, but need not come back
+    sited = in_batches(docs).withColumns({"_q_host": host.cast("string"), "_q_path": path.cast("string")})
+    return sited.withColumn("_q_evidence", evidence(F.col(text_col)))
 
 
 def site_posteriors(judged: DataFrame, base: float) -> DataFrame:

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, small_side, unit_hash
+from .common import checkpointed, in_batches, small_side, unit_hash
 from .components import connected_components, tree_edges
 
 RADIUS = 3
@@ -81,7 +81,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fp})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, f"doc_id {kind}, fp long")
+    return in_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInPandas(run, f"doc_id {kind}, fp long")
 
 
 # --- vantage-point trees -------------------------------------------------------------------------
@@ -265,7 +265,7 @@ def _marks(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
             hashes = [shingle_hashes(t, shingle) for t in b["text"]]
             yield pd.DataFrame({"doc_id": b["doc_id"], "fp": np.array([majority(h) for h in hashes], np.uint64).view(np.int64), "keys": [band_keys(h) for h in hashes]})
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, "doc_id long, fp long, keys array<long>")
+    return in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).mapInPandas(run, "doc_id long, fp long, keys array<long>")
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
@@ -303,7 +303,7 @@ def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 alike.append(common >= least * (len(own) + len(of_last) - common))
             yield pd.DataFrame({"src": p["a"], "dst": p["b"]})[np.array(alike, bool)]
 
-    return both.mapInPandas(like, "src long, dst long")
+    return in_batches(both).mapInPandas(like, "src long, dst long")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, labelled_sample
+from .common import checkpointed, in_batches, labelled_sample
 
 EXAMPLES = 12_000
 TERMS = 512
@@ -172,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep: Column |
                     of_toxic.update(own)
             yield pd.DataFrame({"term": [t.decode("latin-1") for t in every], "n": list(every.values()), "p": [of_toxic[t] for t in every]})
 
-    df = sample.mapInPandas(spread, "term string, n long, p long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("p").alias("p"))
+    df = in_batches(sample).mapInPandas(spread, "term string, n long, p long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("p").alias("p"))
     chi = F.expr(f"{n}D * power(p * {n - toxic}D - (n - p) * {toxic}D, 2) / greatest(1D, n * ({n}D - n) * {toxic}D * {n - toxic}D)")
     kept = df.where(f"n >= 3 and p * {n - toxic}D > (n - p) * {toxic}D").withColumn("chi", chi).where("chi >= 30").orderBy(F.desc("chi"), "term").limit(TERMS).collect()
     vocabulary = {r["term"].encode("latin-1"): k for k, r in enumerate(kept)}
@@ -206,4 +206,4 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
             yield pd.DataFrame({"doc_id": b["doc_id"], "score": p, "predicted": [int(x >= 0.5) for x in p], "evidence": [[{"doc_id": i, "cosine": c} for i, c in x[1]] for x in out]})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, f"doc_id {kind}, score double, predicted int, evidence array<struct<doc_id:long,cosine:double>>")
+    return in_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInPandas(run, f"doc_id {kind}, score double, predicted int, evidence array<struct<doc_id:long,cosine:double>>")
