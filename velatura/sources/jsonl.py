@@ -1,8 +1,7 @@
 """JSON lines, whole texts and review dictionaries as DataFrames, and the sinks for them.
 
 Lines are read as text and parsed here, so that bad ones are kept with a reason instead of being dropped: ``strict``
-stops at them, the default sets them apart. Files have no line order in a cluster; line numbers come from the position in the
-file, which is read as one split where numbers are asked for.
+stops at them, the default sets them apart. Line numbers come from the places of lines in the blocks that tasks read.
 """
 
 from __future__ import annotations
@@ -10,7 +9,7 @@ from __future__ import annotations
 import json
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,22 +19,35 @@ from ..functions.rules import format_error
 DOCUMENT = "text string, entities array<struct<type:string,value:string>>"
 
 
+def _bare(line: Column) -> Column:
+    return F.regexp_replace(line, r"^[\x09-\x0D\x20]+|[\x09-\x0D\x20]+$", "")
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no, line): the lines of a text file or folder, numbered from 1 within each file."""
-    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n")).alias("_p", "line"))
-    return whole.select((F.col("_p") + 1).alias("line_no"), "line")
+    """(line_no, row_id, line): the lines of text files, numbered from 1 within each file, and from 0 over all lines that are not blank.
+
+    Lines are counted within the blocks that tasks read, and blocks (one row each) are summed up in the order of files and offsets.
+    """
+    raw = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"))
+    raw = raw.withColumn("_m", F.monotonically_increasing_id()).withColumn("_full", (_bare(F.col("line")) != "").cast("long"))
+    blocks = raw.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_n"), F.sum("_full").alias("_rows"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    in_file, in_all = before(Window.partitionBy("_f").orderBy("_b")), before(Window.orderBy("_f", "_b"))
+    blocks = blocks.select("_f", "_b", F.coalesce(F.sum("_n").over(in_file), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_rows").over(in_all), F.lit(0)).alias("_r0"))
+    up_to = Window.partitionBy("_f", "_b").orderBy("_m").rowsBetween(Window.unboundedPreceding, 0)
+    counted = raw.withColumn("_i", F.count(F.lit(1)).over(up_to)).withColumn("_r", F.sum("_full").over(up_to)).join(blocks, ["_f", "_b"])
+    return counted.select((F.col("_n0") + F.col("_i")).cast("int").alias("line_no"), F.when(F.col("_full") == 1, F.col("_r0") + F.col("_r") - 1).alias("row_id"), "line")
 
 
 def parsed(raw: DataFrame, schema: str = DOCUMENT, blank: str = "skip") -> DataFrame:
-    """(line_no, line, <schema>, problem) of lines; blank ones are skipped or a problem, as ``blank`` says (skip or error)."""
-    bare = F.regexp_replace("line", r"^[\x09-\x0D\x20]+|[\x09-\x0D\x20]+$", "")
-    is_blank = bare == ""
+    """(line_no, row_id, line, <schema>, problem) of lines; blank ones are skipped or a problem, as ``blank`` says (skip or error)."""
+    is_blank = _bare(F.col("line")) == ""
     record = F.from_json("line", schema, {"mode": "PERMISSIVE"})
-    whole = F.try_parse_json("line") if hasattr(F, "try_parse_json") else F.from_json("line", "map<string,string>")
+    whole = F.try_parse_json("line")
     kind = F.schema_of_variant(whole)
     problem = F.when(is_blank, "blank").when(whole.isNull(), "bad_json").when(~kind.startswith("OBJECT"), "no_object")
     rows = raw if blank == "error" else raw.where(~is_blank)
-    return rows.withColumn("problem", problem).withColumn("_r", F.when(F.col("problem").isNull(), record)).select("line_no", "line", "_r.*", "problem")
+    return rows.withColumn("problem", problem).withColumn("_r", F.when(F.col("problem").isNull(), record)).select("line_no", "row_id", "line", "_r.*", "problem")
 
 
 def read_documents(spark: SparkSession, path: str, schema: str = DOCUMENT, strict: bool = False, blank: str = "skip") -> DataFrame:
