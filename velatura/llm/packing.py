@@ -40,6 +40,8 @@ END = 2
 WINDOW = 4096
 LOT = 4_000_000  # tokens of pieces packed together: 16 MB of ids
 SLACK = 32
+TABLE = 400_000  # runs of characters whose ids a worker keeps
+WORDS_SHARE = 2  # for so many runs one word is kept by itself
 SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 _KNOWN = re.compile("[\\t-\\r\\x20-\\x7eÀ-ÖØ-öø-ÿ]*+")
@@ -60,7 +62,7 @@ class WordTable:
     New words go through the tokenizer's own merges, without its normalisation and splitting, which they have behind them.
     """
 
-    def __init__(self, path: str, size: int = 600_000) -> None:
+    def __init__(self, path: str, size: int = TABLE) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -98,7 +100,7 @@ class WordTable:
 
     def _learn_runs(self, new: list[str]) -> None:
         """Put new runs of anything but white space into the table: their words' ids in a row."""
-        if len(self.words) > self.size:
+        if len(self.words) > self.size // WORDS_SHARE:
             self.words.clear()
         words = list(map(_WORDS.findall, new))
         if unseen := set().union(*words).difference(self.words):
@@ -120,9 +122,9 @@ class WordTable:
 
 
 @functools.cache
-def word_table(path: str) -> WordTable:
-    """One table per worker process, which the tasks that it runs share; it holds ``size`` words and runs at most."""
-    return WordTable(path)
+def word_table(path: str, size: int) -> WordTable:
+    """One table per worker process, which the tasks that it runs share; it is emptied whenever it holds ``size`` runs."""
+    return WordTable(path, size)
 
 
 class OpenWindows:
@@ -207,15 +209,15 @@ def _encoded(b: pd.DataFrame, table: WordTable, tail: bytes, most: int = 1 << 19
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end: int = END, window: int = WINDOW, lot: int = LOT, slack: int = SLACK
+    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end: int = END, window: int = WINDOW, lot: int = LOT, slack: int = SLACK, table: int = TABLE
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    ``tokenizer`` is the path of a tokenizer file, the same on every executor.
+    ``tokenizer`` is the path of a tokenizer file, the same on every executor; a worker keeps ``table`` runs of characters (about 150 MB for 400,000).
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = word_table(tokenizer)
+        known = word_table(tokenizer, table)
         tail = np.array([end], "<u4").tobytes()
         number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         rows: list[tuple] = []
@@ -242,7 +244,7 @@ def pack(
             return frame
 
         for b in batches:
-            for doc, ids in _encoded(b, table, tail):
+            for doc, ids in _encoded(b, known, tail):
                 n = len(ids) // 4
                 full = n // window
                 for k in range(full):
