@@ -33,28 +33,64 @@ def word_count(v: Column) -> Column:
     return F.regexp_count(v, F.lit(r"[^\x20\x09-\x0D]+"))
 
 
+def running(sizes: Column) -> Column:
+    """The sum of the numbers before each one.
+
+    Adding to an array copies it, so this goes in blocks of about sqrt(n): sums within a block, and over the blocks before it.
+    """
+    n = F.size(sizes)
+    width = F.greatest(F.lit(1), F.ceil(F.sqrt(n)).cast("int"))
+    total = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x)
+
+    def block(first: Column) -> Column:
+        return let(F.slice(sizes, first + 1, width), lambda part: F.struct(part.alias("part"), total(part).alias("sum")))
+
+    def within(part: Column, base: Column) -> Column:
+        return F.aggregate(
+            part, F.struct(base.alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")), lambda acc: acc["out"],
+        )
+
+    def joined(blocks: Column) -> Column:
+        before = lambda i: F.aggregate(F.slice(blocks, F.lit(1), i), F.lit(0), lambda a, x: a + x["sum"])
+        return F.flatten(F.transform(blocks, lambda x, i: within(x["part"], before(i))))
+
+    return let(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), width), block), joined)
+
+
+def _quoted(value: Column) -> Column:
+    return F.concat(F.lit(r"\Q"), F.replace(value, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+
+
 def occurrences(text: Column, value: Column) -> Column:
     """Starts of the literal occurrences of ``value`` in ``text``, left to right, each search beginning after the one before.
 
     The gaps between occurrences are what a split by the quoted value leaves; their lengths add up to the starts.
     """
-    quoted = F.concat(F.lit(r"\Q"), F.replace(value, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
-    gaps = F.call_function("split", text, quoted, F.lit(-1))
     size = F.length(value)
-    summed = F.aggregate(
-        F.slice(gaps, F.lit(1), F.size(gaps) - 1),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
-        lambda acc, g: F.struct((acc["at"] + F.length(g) + size).alias("at"), F.array_append(acc["out"], acc["at"] + F.length(g)).alias("out")),
-        lambda acc: acc["out"],
-    )
-    return F.when((size > 0) & text.contains(value), summed).otherwise(F.array().cast("array<int>"))
+
+    def starts(gaps: Column) -> Column:
+        lengths = F.transform(F.slice(gaps, F.lit(1), F.size(gaps) - 1), lambda g: F.length(g))
+        # what was passed before each occurrence: the gaps up to it, and the occurrences before
+        return let(lengths, lambda xs: F.transform(F.arrays_zip(xs.alias("g"), running(F.transform(xs, lambda x: x + size)).alias("r")), lambda z: z["g"] + z["r"]))
+
+    found = let(F.call_function("split", text, _quoted(value), F.lit(-1)), starts)
+    return F.when((size > 0) & text.contains(value), found).otherwise(F.array().cast("array<int>"))
 
 
 def occurrences_overlapping(text: Column, value: Column) -> Column:
-    """As ``occurrences``, but the next search begins one character after the last start."""
-    n, m = F.length(text), F.length(value)
-    at = F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), n - m + 1)), lambda i: F.substring(text, i, m) == value)
-    return F.when((m > 0) & (n >= m) & text.contains(value), F.transform(at, lambda i: i - 1)).otherwise(F.array().cast("array<int>"))
+    """As ``occurrences``, but the next search begins one character after the last start.
+
+    A split before every place where the value follows leaves pieces whose lengths add up to the starts; none is
+    cut off at the very beginning.
+    """
+
+    def starts(pieces: Column) -> Column:
+        inner = running(F.transform(pieces, lambda x: F.length(x)))
+        return F.concat(F.when(text.startswith(value), F.array(F.lit(0))).otherwise(F.array().cast("array<int>")), F.slice(inner, F.lit(2), F.size(pieces)))
+
+    found = let(F.call_function("split", text, F.concat(F.lit("(?="), _quoted(value), F.lit(")")), F.lit(-1)), starts)
+    return F.when((F.length(value) > 0) & text.contains(value), found).otherwise(F.array().cast("array<int>"))
 
 
 def is_word_boundary(text: Column, at: Column) -> Column:
