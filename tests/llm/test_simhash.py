@@ -135,3 +135,51 @@ def test_filter_of_odd_rows(spark):
     kept = [r["doc_id"] for r in simhash.simhash_dedup(docs).collect()]
     assert sorted(map(str, kept)) == sorted(["None", "900", "903", "904", "905", "906", "906"])
     assert simhash.simhash_dedup(table(spark, [])).count() == 0
+
+
+def changed(words, places, tag):
+    out = list(words)
+    for p in places:
+        out[p] = f"{tag}x{p}"
+    return out
+
+
+def family(r, tag, pairs, n=300, common=5, own=6):
+    """Texts of one template, each with places of its own changed, and for each a copy with a few more changed."""
+    base = [f"{tag}w{i}" for i in range(n)]
+    out = []
+    for k in range(pairs):
+        text = changed(base, r.choice(n, common, replace=False), f"{tag}k{k}")
+        out += [text, changed(text, r.choice(n, own, replace=False), f"{tag}c{k}")]
+    return out
+
+
+def test_pairs_within_a_bucket_are_found_where_its_head_is_not_near(spark):
+    r = np.random.default_rng(12)
+    texts = [t for f in range(3) for t in family(r, f"f{f}", 40)]
+    chain = [f"chain{i}" for i in range(300)]
+    for k in range(25):  # each near the one before only
+        chain = changed(chain, range(k * 11, k * 11 + 11, 3), f"v{k}")
+        texts.append(chain)
+    ids = r.permutation(len(texts)) + 1
+    rows = [(int(i), " ".join(t), "a") for i, t in zip(ids, texts)]
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in zip(ids.tolist(), texts)}
+    near = [(i, j) for i in sets for j in sets if i > j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    want = groups(near, list(sets))
+    assert 60 < len(set(want.values())) < len(texts) - 60
+    kept = {x["doc_id"] for x in simhash.simhash_dedup(table(spark, rows)).collect()}
+    assert kept == {i for i, head in want.items() if i == head}
+
+
+def test_block_links_are_those_of_brute_force():
+    r = np.random.default_rng(4)
+    sets = [np.unique(r.integers(0, 60, 100).astype(np.uint64)) for _ in range(40)] + [np.empty(0, np.uint64)]
+    sets += [np.arange(9000, dtype=np.uint64), np.arange(1000, 9000, dtype=np.uint64)]
+    got = set(zip(*(x.tolist() for x in simhash.block_links(sets[:20] + sets[-2:], sets[20:], 0.6))))
+    want = set()
+    for a, x in enumerate(sets[:20] + sets[-2:]):
+        for b, y in enumerate(sets[20:]):
+            common = len(np.intersect1d(x, y))
+            if common >= 0.6 * (len(x) + len(y) - common):
+                want.add((a, b))
+    assert got == want and len(want) > 5

@@ -20,7 +20,8 @@ group of k fingerprints makes at most k - 1 rows per shard. Components are then
 large-star and small-star steps.
 
 ``simhash_dedup`` drops near copies by the similarity of their five-word shingles. As the fingerprints of such texts differ in more
-bits than Hamming search can reach, MinHash bands give candidates beside the fingerprints, and all are decided by the exact similarity.
+bits than Hamming search can reach, MinHash bands give candidates beside the fingerprints, and all are decided by the exact similarity:
+every pair that shares a band or a fingerprint component and that no chain of links found before joins.
 
 Defined cases: null texts have no words (fingerprint 0, linked like any other); ties and repeated rows
 share a node; an empty table gives an empty result; extra columns are not read by ``simhash_components`` and all
@@ -244,6 +245,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 # search by Hamming distance prunes anything. Their candidates therefore come from MinHash bands as well.
 
 BANDS, ROWS = 16, 4  # a pair of similarity 0.8 shares none of the bands once in 5000
+BLOCK = 128  # members of a bucket that are compared with as many others at a time
 _RNG = np.random.default_rng(64)
 _FACTORS = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -268,26 +270,31 @@ def _marks(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
     return in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).mapInPandas(run, "doc_id long, fp long, keys array<long>")
 
 
-def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
-    """(a, b), distinct: each document with the smallest id of its fingerprint component and of each of its bands, itself left out."""
+def buckets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
+    """(key, doc_id), distinct: each document in its fingerprint component and in each of its bands.
+
+    A component and a band whose keys are equal are one bucket, which only adds comparisons.
+    """
     marked = checkpointed(_marks(docs.where(F.col(id_col).isNotNull()), id_col, text_col, shingle))
-    by_bits = _components(marked).select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
-    bands = marked.select("doc_id", F.explode("keys").alias("key"))
-    heads = bands.groupBy("key").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("_last")).where("b <> _last").drop("_last")
-    by_bands = bands.join(heads, "key").select(F.col("doc_id").alias("a"), "b")
-    return checkpointed(by_bits.unionByName(by_bands).where("a <> b").distinct())
+    by_bits = _components(marked).select(F.col("component_id").alias("key"), "doc_id")
+    by_bands = marked.select(F.explode("keys").alias("key"), "doc_id")
+    both = by_bits.unionByName(by_bands)
+    shared = both.groupBy("key").agg(F.min("doc_id").alias("_head"), F.max("doc_id").alias("_last")).where("_head <> _last").drop("_last")
+    return checkpointed(both.join(shared, "key").select("key", "doc_id", "_head").distinct())
 
 
-def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
-    """(src, dst): candidates whose sets of word shingles have a Jaccard similarity of ``least`` or more.
+def _texts(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_id, _text) of the documents ``ids`` (_id)."""
+    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).join(small_side(ids, 500_000), "_id")
+    return texts.groupBy("_id").agg(F.max("_text").alias("_text"))
 
-    A text of fewer words is one shingle; texts without words are equal to one another.
-    """
-    pairs = candidates(docs, id_col, text_col, shingle)
+
+def _head_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle: int, least: float) -> DataFrame:
+    """(src, dst): each document with the smallest id of each of its buckets, if they are near."""
+    pairs = checkpointed(members.select(F.col("doc_id").alias("a"), F.col("_head").alias("b")).where("a <> b").distinct())
     ids = checkpointed(pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct())
     # only texts of candidates move; a head that very many others point to is split by the skew handling
-    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).join(small_side(ids, 500_000), "_id")
-    texts = texts.groupBy("_id").agg(F.max("_text").alias("_text"))
+    texts = _texts(docs, ids, id_col, text_col)
     own = pairs.join(texts.select(F.col("_id").alias("a"), F.col("_text").alias("_a_text")), "a")
     both = own.join(texts.select(F.col("_id").alias("b"), F.col("_text").alias("_b_text")), "b").select("a", "b", "_a_text", "_b_text")
 
@@ -306,9 +313,116 @@ def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return in_batches(both).mapInPandas(like, "src long, dst long")
 
 
+def block_links(left: list[np.ndarray], right: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs (of ``left``, of ``right``) of sorted sets whose Jaccard similarity is ``least`` or more."""
+    sizes = np.array([len(x) for x in left + right])
+    every, column = np.unique(np.concatenate(left + right), return_inverse=True)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    met = np.bincount(column, minlength=len(every)) > 1  # what one set alone has is common to no two
+    row, column = row[met[column]], (np.cumsum(met) - 1)[column[met[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(left), len(right)), np.float64)
+    for at in range(0, int(met.sum()), 4096):
+        a, z = np.searchsorted(column, [at, at + 4096])
+        has = np.zeros((len(sizes), 4096), np.float32)
+        has[row[a:z], column[a:z] - at] = 1
+        common += has[: len(left)] @ has[len(left) :].T
+    return np.nonzero(common >= least * (sizes[: len(left), None] + sizes[None, len(left) :] - common))
+
+
+def _pair_links(docs: DataFrame, members: DataFrame, label: DataFrame, id_col: str, text_col: str, shingle: int, least: float, block: int = BLOCK) -> DataFrame:
+    """(src, dst): links that join what is near within a bucket and not yet joined by ``label`` (node, component).
+
+    Every pair of a bucket is compared, except those of one component and those compared with the head before. Equal sets are one
+    member. A bucket is dealt into blocks of about ``block`` members, a component that fills a block into
+    blocks of its own, and each pair of blocks is one piece of work.
+    """
+    label = label.select(F.col("node").alias("doc_id"), "component")
+    labelled = checkpointed(members.join(label, "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("c")))
+    # in a bucket of two the only pair has been compared; of buckets with equal members one is enough
+    seal = [F.sum(F.xxhash64("doc_id", F.lit(k)).cast("decimal(38,0)")).alias(f"_s{k}") for k in (1, 2)]
+    kinds = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("_n"), F.min("c").alias("_lo"), F.max("c").alias("_hi"), *seal)
+    mixed = kinds.where("_n > 2 and _lo <> _hi").groupBy("_n", "_s1", "_s2").agg(F.min("key").alias("key")).select("key")
+    open_ = checkpointed(labelled.join(mixed, "key"))
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            grams = [np.unique(shingle_hashes(t, shingle)).tobytes() for t in b["_text"]]
+            yield pd.DataFrame({"_id": b["_id"], "digest": [xxhash.xxh3_128_digest(g) for g in grams], "grams": grams})
+
+    ids = checkpointed(open_.select(F.col("doc_id").alias("_id")).distinct())
+    found = checkpointed(in_batches(_texts(docs, ids, id_col, text_col)).mapInPandas(sets, "_id long, digest binary, grams binary"))
+    first = found.groupBy("digest").agg(F.min("_id").alias("rep"))
+    same = checkpointed(found.select("_id", "digest").join(first, "digest").select(F.col("_id").alias("doc_id"), "rep"))
+    reps = open_.join(same, "doc_id").select("key", F.col("rep").alias("id")).distinct()
+    reps = reps.join(label.withColumnRenamed("doc_id", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+    reps = checkpointed(reps)
+    sizes = reps.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
+    pool = sizes.groupBy("key").agg(F.sum(F.when(F.col("n") < block, F.col("n"))).alias("pool"))
+    sizes = sizes.join(pool, "key")
+    big = F.col("n") >= block
+    slot = F.pmod(F.xxhash64("id", F.lit(3)), F.ceil(F.when(big, F.col("n")).otherwise(F.col("pool")) / block))
+    dealt = checkpointed(reps.join(sizes, ["key", "c"]).select("key", "id", "c", F.xxhash64(F.when(big, F.col("c")), slot).alias("blk")))
+
+    blocks = checkpointed(dealt.groupBy("key", "blk").agg(F.min("c").alias("lo"), F.max("c").alias("hi")))
+    one = blocks.select("key", F.col("blk").alias("i"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
+    two = blocks.select("key", F.col("blk").alias("j"), F.col("lo").alias("_lo2"), F.col("hi").alias("_hi2"))
+    work = checkpointed(one.join(two, "key").where("i <= j and least(_lo, _lo2) <> greatest(_hi, _hi2)").select("key", "i", "j"))
+    left = work.join(dealt.withColumnRenamed("blk", "i"), ["key", "i"]).withColumn("side", F.lit(0))
+    right = work.where("i <> j").join(dealt.withColumnRenamed("blk", "j"), ["key", "j"]).withColumn("side", F.lit(1))
+    visits = left.unionByName(right).join(found.select(F.col("_id").alias("id"), "grams"), "id")
+    visits = visits.select("key", "i", "j", "side", "id", "c", "grams").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
+
+    def near(piece: list[tuple]) -> list[tuple[int, int]]:
+        halves = [[(x, c, np.frombuffer(g, np.uint64)) for side, x, c, g in piece if side == k] for k in (0, 1)]
+        halves[1] = halves[1] or halves[0]
+        a, b = block_links([m[2] for m in halves[0]], [m[2] for m in halves[1]], least)
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent[up]
+            return x
+
+        out = []
+        for p, q in zip(a.tolist(), b.tolist()):
+            (x, cx, _), (y, cy, _) = halves[0][p], halves[1][q]
+            rx, ry = root(cx), root(cy)
+            if rx != ry:
+                parent[rx] = ry
+                out.append((x, y))
+        return out
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, piece = None, []
+        for b in batches:
+            out = []
+            for key, i, j, *member in zip(*(b[k] for k in ("key", "i", "j", "side", "id", "c", "grams"))):
+                if at != (key, i, j):
+                    out += near(piece) if piece else []
+                    at, piece = (key, i, j), []
+                piece.append(tuple(member))
+            yield pd.DataFrame(out, columns=["src", "dst"], dtype="int64")
+        if piece:
+            yield pd.DataFrame(near(piece), columns=["src", "dst"], dtype="int64")
+
+    links = in_batches(visits).mapInPandas(compare, "src long, dst long")
+    return links.unionByName(same.where("doc_id <> rep").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst")))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
-    """(doc_id, group_id) of the documents that a chain of near links joins with others, group_id their smallest doc_id."""
-    found = connected_components(checkpointed(near_links(docs, id_col, text_col, shingle, least)))
+    """(doc_id, group_id) of the documents that a chain of near links joins with others, group_id their smallest doc_id.
+
+    Two documents are linked if they share a bucket and their sets of word shingles have a Jaccard similarity of ``least`` or more. A text of
+    fewer words is one shingle; texts without words are equal to one another. Heads come first: what they join
+    need not be compared again, so that a large group of copies costs little.
+    """
+    members = buckets(docs, id_col, text_col, shingle)
+    found = checkpointed(connected_components(checkpointed(_head_links(docs, members, id_col, text_col, shingle, least))))
+    more = checkpointed(_pair_links(docs, members, found, id_col, text_col, shingle, least))
+    if not more.isEmpty():
+        found = connected_components(found.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(more))
     return found.select(F.col("node").alias("doc_id"), F.col("component").alias("group_id"))
 
 
