@@ -64,6 +64,15 @@ def test_tokens_and_places():
     assert [x for x in lm._parts(["ab", "c", None, "defg"], 3)] == [(0, 2), (2, 4)]
 
 
+def test_training_predicts_the_words_of_every_place(spark):
+    text = " ".join(f"word{'abcdefghijkl'[i % 12]}" for i in range(24_000))  # a place in twelve has one word only
+    docs = table(spark, [(1, text, "a")]).coalesce(1)
+    vocab, net = lm.train(docs)
+    tokens, lengths = vocab.tokens([text])
+    logp = net.forward(tokens, lm._places(lengths)[:1200])[0].reshape(-1, 12).mean(axis=0)
+    assert logp.min() > -2  # log(1 / 12) = -2.5 before training
+
+
 def test_empty_corpus(spark):
     vocab, net = lm.train(table(spark, []))
     assert lm.score(table(spark, []), vocab, net).count() == 0

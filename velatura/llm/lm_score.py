@@ -11,8 +11,8 @@ from the two tokens before and the two after it, the place itself being masked:
 log probabilities of all its tokens.
 
 Training covers the corpus: words are counted over all documents, and every task trains a copy of the network
-(Adagrad) on what it reads, each text giving every ``STRIDE``-th place as a target with its whole surroundings, from
-another offset in each of ``ROUNDS`` rounds. After a round the copies are averaged, weighted by their targets, in two levels so that
+(Adagrad) on what it reads, every token being a target once, with its whole surroundings: each of ``STRIDE`` rounds takes
+every ``STRIDE``-th place, from the next offset. After a round the copies are averaged, weighted by their targets, in two levels so that
 no task gathers the copies of all. What is gathered so grows with the corpus: word counts and copies.
 
 The network is of fixed size (about 0.4 MB) and is broadcast, with the vocabulary; the texts are never shuffled.
@@ -42,8 +42,7 @@ WIDTH = 32  # entries of a class
 KNOWN = 767
 RARE = 256  # KNOWN + RARE + padding = CLASSES * WIDTH
 HIDDEN = 24
-STRIDE = 12
-ROUNDS = 2
+STRIDE = 2
 PAD = 0
 _PLACES = (-2, -1, 1, 2)
 _SLICE = 16_384  # places computed at a time
@@ -202,11 +201,11 @@ def _places(lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(lengths.sum())) + own
 
 
-def train(docs: DataFrame, text_col: str = "text", stride: int = STRIDE, rounds: int = ROUNDS) -> tuple[Vocabulary, Network]:
+def train(docs: DataFrame, text_col: str = "text", stride: int = STRIDE) -> tuple[Vocabulary, Network]:
     spark = docs.sparkSession
     listed, totals = vocabulary(docs, text_col)
     vocab, net = Vocabulary(listed), Network.fresh(totals)
-    for turn in range(rounds):
+    for turn in range(stride):
         shared = spark.sparkContext.broadcast((vocab, net.flat))
 
         def run(batches: Iterator[pd.DataFrame], turn: int = turn) -> Iterator[pd.DataFrame]:
@@ -216,7 +215,7 @@ def train(docs: DataFrame, text_col: str = "text", stride: int = STRIDE, rounds:
                 texts = b[text_col].tolist()
                 for a, z in _parts(texts):
                     tokens, lengths = vocab.tokens(texts[a:z])
-                    at = _places(lengths)[turn * stride // rounds :: stride]
+                    at = _places(lengths)[turn::stride]
                     for k in range(0, len(at), 512):
                         own.learn(tokens, at[k : k + 512], squares)
                     seen += len(at)
