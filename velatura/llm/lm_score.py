@@ -1,56 +1,69 @@
 """Documents scored by masked pseudo-likelihood under a bidirectional window network.
 
-Tokens are the words of the lower-cased text; the ``KNOWN`` most frequent words of the whole corpus are
-entries of the vocabulary, all others share ``RARE`` entries by hash. The network predicts the token at a place
-from the two tokens before and the two after it, the place itself being masked:
+Tokens are the words of the lower-cased text. The network predicts the token at a place from the two tokens
+before and the two after it, the place itself being masked:
 
     h = tanh(b + T1[w-2] + T2[w-1] + T3[w+1] + T4[w+2])
-    P(w | both sides) = P(class of w | h) * P(w | its class, h)
+    P(w | both sides) = P(class of e | h) * P(e | its class, h) * P(w | e)
 
-(both softmax over linear maps of h, with about sqrt(V) classes of about sqrt(V) entries). A document's score is the sum of the
-log probabilities of all its tokens.
+where e is the network's entry of w: the ``OWN`` most frequent words have an entry each (P(w | e) = 1), all others share ``SHARED``
+entries by hash, and P(w | e) is the word's part of all tokens of its entry, from the counts of all words of the corpus. So
+the probabilities of all words seen sum to one at every place. A document's score is the sum of the log probabilities of all its tokens.
 
-Training covers the corpus: words are counted over all documents, and every task trains a copy of the network
-(Adagrad) on what it reads, every token being a target once, with its whole surroundings: each of ``STRIDE`` rounds takes
-every ``STRIDE``-th place, from the next offset. After a round the copies are averaged, weighted by their targets, in two levels so that
-no task gathers the copies of all. What is gathered so grows with the corpus: word counts and copies.
+What is gathered grows with the corpus: the count of every word, and one trained copy of the network for every ``SHARD`` tokens.
+The counts of the ``LISTED`` most frequent words are broadcast; those of all other words stay a table, which the
+documents' rare words (about a tenth of the tokens) are joined with. None of them is a hot key, being rarer than the listed ones.
 
-The network is of fixed size (about 0.4 MB) and is broadcast, with the vocabulary; the texts are never shuffled.
+Training. Texts are encoded once (two bytes a token) and dealt to shards by a hash; each shard trains a copy (Adagrad) in the order of the
+hash, in ``ROUNDS`` rounds with every ``ROUNDS``-th place each, so that every token is a target once. After a round the copies are averaged,
+weighted by their targets, 64 at a time. Neither shards nor order depend on how the input is split.
 
 Defined cases: null and empty texts have no tokens, log likelihood 0 and a null mean; tokens beyond the ends are
-a padding entry; very long texts are scored whole, in slices that see across their ends; repeated rows get equal scores; an empty corpus scores nothing;
-extra columns are not read.
+a padding entry; very long texts are scored whole; ties in frequency go to the word first in byte order; repeated rows get equal scores;
+an empty corpus scores nothing; words whose 64-bit hashes agree count as one; extra columns are not read.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, in_batches
 from .toxicity import words
 
-CLASSES = 32
-WIDTH = 32  # entries of a class
-KNOWN = 767
-RARE = 256  # KNOWN + RARE + padding = CLASSES * WIDTH
+CLASSES = 48
+WIDTH = 48  # entries of a class
+SHARED = 512  # a power of two
+OWN = CLASSES * WIDTH - SHARED - 1
+LISTED = 1 << 16  # words whose counts are broadcast, at most
 HIDDEN = 24
-STRIDE = 2
+ROUNDS = 2
+BATCH = 2048  # targets of a step
+SHARD = 1 << 20  # tokens meant for a shard
+SHARDS = 1 << 16  # beyond so many, shards grow instead
 PAD = 0
 _PLACES = (-2, -1, 1, 2)
-_SLICE = 16_384  # places computed at a time
+_PART = 1 << 20  # tokens trained on or scored at a time, but for a longer text
+_SLICE = 8192  # places computed at a time
 _CHUNK = 4096  # weights in one row of what is averaged
+_FAN = 64  # copies added up at a time
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text", known: int = KNOWN) -> tuple[list[bytes], np.ndarray]:
-    """The most frequent words of all documents, and the number of tokens of each entry of the vocabulary."""
+def hashed(word: bytes) -> int:
+    """The hash by which Spark's xxhash64 knows the word, as a signed number."""
+    h = xxhash.xxh64_intdigest(word, 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(h, w, n): hash, word and number of every word of all documents, written to the checkpoint folder."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         count: Counter = Counter()
@@ -66,16 +79,63 @@ def vocabulary(docs: DataFrame, text_col: str = "text", known: int = KNOWN) -> t
                 count.clear()
         yield out()
 
-    counts = checkpointed(in_batches(docs.select(text_col)).mapInPandas(run, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")))
-    top = counts.orderBy(F.desc("n"), "w").limit(known).collect()
-    listed = [bytes(r["w"]) for r in top]
-    place = {w: i + 1 for i, w in enumerate(listed)}
+    counted = in_batches(docs.select(text_col)).mapInPandas(run, "w binary, n long")
+    return checkpointed(counted.groupBy(F.xxhash64("w").alias("h")).agg(F.min("w").alias("w"), F.sum("n").alias("n")))
+
+
+@dataclass
+class Vocabulary:
+    """Frequent words, each with its entry and log P(word | entry), and the tokens of every entry."""
+
+    listed: list[bytes]
+    entry: np.ndarray
+    part: np.ndarray
+    totals: np.ndarray
+
+    @property
+    def tokens(self) -> int:
+        return int(self.totals.sum())
+
+    def encoder(self):
+        """Text -> (entries, log P(word | entry) summed over listed words, hashes of the other words)."""
+        place = {w: i for i, w in enumerate(self.listed)}
+        entry, part = self.entry, self.part
+
+        def encode(text: str | None) -> tuple[np.ndarray, float, np.ndarray]:
+            own = words(text)
+            get = place.get
+            at = np.fromiter((get(w, -1) for w in own), np.int64, len(own))
+            unknown = np.flatnonzero(at < 0)
+            h = np.array([hashed(own[i]) for i in unknown.tolist()], np.int64)
+            out = np.empty(len(own), np.uint16)
+            known = at >= 0
+            out[known] = entry[at[known]]
+            out[unknown] = 1 + OWN + (h & (SHARED - 1))
+            return out, float(part[at[known]].sum()), h
+
+        return encode
+
+
+def vocabulary(counts: DataFrame, listed: int = LISTED, own: int = OWN) -> Vocabulary:
+    """The most frequent words, ``listed`` at most, cut at a sixteenth of an octave of their counts."""
+    octave = F.floor(F.log2("n") * 16).cast("int")
+    sizes = counts.groupBy(octave.alias("k")).count().collect()  # 1024 rows at most
+    least, held = 1 << 30, 0
+    for r in sorted(sizes, reverse=True):
+        held += r["count"]
+        if held > listed:
+            break
+        least = r["k"]
+    top = sorted(counts.where(octave >= least).select("w", "n").collect(), key=lambda r: (-r["n"], bytes(r["w"])))  # ``listed`` rows at most
+    names, n = [bytes(r["w"]) for r in top], np.array([r["n"] for r in top], np.float64)
+    low = np.array([hashed(w) & (SHARED - 1) for w in names], np.int64)
+    entry = np.where(np.arange(len(names)) < own, 1 + np.arange(len(names)), 1 + OWN + low)
     totals = np.zeros(CLASSES * WIDTH)
-    for w, i in place.items():
-        totals[i] = top[i - 1]["n"]
-    rest = counts.agg(F.sum("n")).first()[0] or 0
-    totals[known + 1 :] = max(0, rest - totals.sum()) / RARE
-    return listed, totals
+    for r in counts.groupBy(F.pmod("h", F.lit(SHARED)).alias("k")).agg(F.sum("n").alias("n")).collect():  # SHARED rows
+        totals[1 + OWN + r["k"]] = r["n"]
+    np.subtract.at(totals, 1 + OWN + low[:own], n[:own])
+    totals[1 : 1 + min(own, len(names))] = n[:own]
+    return Vocabulary(names, entry, np.log(n / totals[entry]), totals)
 
 
 class Network:
@@ -106,154 +166,185 @@ class Network:
         return net
 
     def forward(self, tokens: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, dict]:
-        """Log probabilities of the tokens at the places ``at``, and what learning needs."""
+        """Log probabilities of the entries at the places ``at``, and what learning needs."""
         v = self.view
+        y = tokens[at].astype(np.int64)
+        order = np.argsort(y // WIDTH, kind="stable")  # the places of a class stand together from here on
+        at, y = at[order], y[order]
+        group, inner = np.divmod(y, WIDTH)
+        ends = np.searchsorted(group, np.arange(CLASSES + 1))
         x = [tokens[at + p] for p in _PLACES]
-        h = v["b"] + v["T"][0][x[0]]
+        h = v["T"][0][x[0]]
         for k in range(1, len(_PLACES)):
             h += v["T"][k][x[k]]
+        h += v["b"]
         np.tanh(h, out=h)
-        y = tokens[at]
-        group, inner = y // WIDTH, y % WIDTH
         pc = np.exp(h @ v["C"] + v["c"])  # |h| <= 1, so this stays in range
         pc /= pc.sum(axis=1, keepdims=True)
-        order = np.argsort(group, kind="stable")
-        ends = np.searchsorted(group[order], np.arange(CLASSES + 1))
         pw = np.empty((len(at), WIDTH), np.float32)
         for g in range(CLASSES):
-            rows = order[ends[g] : ends[g + 1]]
-            if len(rows):
-                pw[rows] = h[rows] @ v["W"][g] + v["w"][g]
+            a, z = ends[g], ends[g + 1]
+            if a < z:
+                np.matmul(h[a:z], v["W"][g], out=pw[a:z])
+                pw[a:z] += v["w"][g]
         np.exp(pw, out=pw)
         pw /= pw.sum(axis=1, keepdims=True)
         n = np.arange(len(at))
-        logp = np.log(np.maximum(pc[n, group], 1e-30)) + np.log(np.maximum(pw[n, inner], 1e-30))
-        return logp, {"x": x, "h": h, "pc": pc, "pw": pw, "group": group, "inner": inner, "order": order, "ends": ends}
+        logp = np.empty(len(at))
+        logp[order] = np.log(np.maximum(pc[n, group], 1e-30)) + np.log(np.maximum(pw[n, inner], 1e-30))
+        return logp, {"x": x, "h": h, "pc": pc, "pw": pw, "group": group, "inner": inner, "ends": ends}
 
-    def learn(self, tokens: np.ndarray, at: np.ndarray, squares: np.ndarray, rate: float = 0.08) -> None:
-        """One Adagrad step on the places ``at``."""
+    def learn(self, tokens: np.ndarray, at: np.ndarray, squares: Network, rate: float = 0.1) -> None:
+        """One Adagrad step on the places ``at``; of the tables only the rows met are touched."""
         _, s = self.forward(tokens, at)
-        v, g = self.view, Network(np.zeros_like(self.flat)).view
-        n = np.arange(len(at))
-        dc, dw = s["pc"], s["pw"]
+        v, q = self.view, squares.view
+        n, share = np.arange(len(at)), np.float32(1 / len(at))
+        dc, dw, h = s["pc"], s["pw"], s["h"]
         dc[n, s["group"]] -= 1
         dw[n, s["inner"]] -= 1
+        dc *= share
+        dw *= share
         dh = dc @ v["C"].T
-        g["C"][:] = s["h"].T @ dc
-        g["c"][:] = dc.sum(axis=0)
+        gw, gb = np.zeros_like(v["W"]), np.zeros_like(v["w"])
         for k in range(CLASSES):
-            rows = s["order"][s["ends"][k] : s["ends"][k + 1]]
-            if len(rows):
-                dh[rows] += dw[rows] @ v["W"][k].T
-                g["W"][k] = s["h"][rows].T @ dw[rows]
-                g["w"][k] = dw[rows].sum(axis=0)
-        dh *= 1 - s["h"] ** 2
-        g["b"][:] = dh.sum(axis=0)
-        for k in range(len(_PLACES)):
-            x = s["x"][k]
+            a, z = s["ends"][k], s["ends"][k + 1]
+            if a < z:
+                dh[a:z] += dw[a:z] @ v["W"][k].T
+                np.matmul(h[a:z].T, dw[a:z], out=gw[k])
+                gb[k] = dw[a:z].sum(axis=0)
+        dh *= 1 - h * h
+        for name, g in (("C", h.T @ dc), ("c", dc.sum(axis=0)), ("b", dh.sum(axis=0)), ("W", gw), ("w", gb)):
+            q[name][...] += g * g
+            v[name][...] -= rate * g / (np.sqrt(q[name]) + 1e-6)
+            # so no logit passes 3 * HIDDEN + 12 = 84, and exp(84) is a float
+            np.clip(v[name], *((-3, 3) if name in "CW" else (-12, 12)), out=v[name])
+        for k, x in enumerate(s["x"]):
             order = np.argsort(x, kind="stable")
-            first = np.flatnonzero(np.r_[True, x[order][1:] != x[order][:-1]])
-            g["T"][k][x[order][first]] = np.add.reduceat(dh[order], first, axis=0)
-        flat = np.concatenate([a.ravel() for a in g.values()]) / len(at)
-        squares += flat * flat
-        self.flat -= rate * flat / (np.sqrt(squares) + 1e-6)
-        np.clip(self.flat, -12, 12, out=self.flat)  # with the next two no logit passes 3 * HIDDEN + 12 = 84, and exp(84) is a float
-        np.clip(v["C"], -3, 3, out=v["C"])
-        np.clip(v["W"], -3, 3, out=v["W"])
+            own = x[order]
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            rows, g = own[first], np.add.reduceat(dh[order], first, axis=0)
+            total = q["T"][k][rows] + g * g
+            q["T"][k][rows] = total
+            v["T"][k][rows] = np.clip(v["T"][k][rows] - rate * g / (np.sqrt(total) + 1e-6), -12, 12)
+
+
+def padded(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of all documents in a row, two paddings before each and after the last, and the places of the real ones."""
+    gap = np.full(2, PAD, np.uint16)
+    tokens = np.concatenate([p for d in docs for p in (gap, d)] + [gap])
+    lengths = np.array([len(d) for d in docs], np.int64)
+    places = np.arange(int(lengths.sum())) + np.repeat(2 * np.arange(1, len(docs) + 1), lengths)
+    return tokens, places
+
+
+def parts(batches: Iterator[pd.DataFrame], most: int = _PART) -> Iterator[pd.DataFrame]:
+    """The rows in their order, in runs of ``most`` tokens or the row with which they pass that; not as the batches happen to be cut."""
+    held: list[pd.DataFrame] = []
+    size = 0
+    for b in batches:
+        total = size + np.cumsum(b["tokens"].map(len).to_numpy(np.int64) // 2)
+        begin = 0
+        while (k := int(np.searchsorted(total, most))) < len(total):
+            held.append(b.iloc[begin : k + 1])
+            yield pd.concat(held)
+            held, begin = [], k + 1
+            total = total - total[k]
+            total[: k + 1] = -1
+        held.append(b.iloc[begin:])
+        size = int(total[-1]) if len(total) and begin < len(b) else 0 if begin else size
+    if sum(map(len, held)):
+        yield pd.concat(held)
+
+
+def _entries(column: pd.Series) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint16) for x in column]
+
+
+def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col: str = "text", shard: int = SHARD) -> DataFrame:
+    """(_row, shard, doc_id, tokens, part, rare) of all documents, one shard to a partition and in order there, written to the checkpoint folder."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocab)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        code = shared.value.encoder()
+        for b in batches:
+            out = [code(t) for t in b["text"]]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "tokens": [x[0].tobytes() for x in out], "part": [x[1] for x in out], "rare": [x[2] for x in out]})
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    coded = in_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInPandas(run, f"doc_id {kind}, tokens binary, part double, rare array<long>")
+    shards = max(1, min(SHARDS, -(-vocab.tokens // shard)))
+    order = F.xxhash64("doc_id", "tokens")
+    dealt = coded.withColumn("_at", order).withColumn("shard", F.pmod("_at", F.lit(shards)).cast("int"))
+    dealt = dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions("_at", "doc_id", "tokens")
+    return checkpointed(dealt.select(F.monotonically_increasing_id().alias("_row"), "shard", "doc_id", "tokens", "part", "rare"))
 
 
-class Vocabulary:
-    def __init__(self, listed: list[bytes]) -> None:
-        self.known = {w: i + 1 for i, w in enumerate(listed)}
-
-    def __call__(self, word: bytes) -> int:
-        known = self.known.get(word)
-        return known if known is not None else KNOWN + 1 + zlib.crc32(word) % RARE
-
-    def tokens(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Entries of all texts in a row, two paddings before each and after the last, and the number of tokens of each text."""
-        out, lengths = [], []
-        get, crc, first = self.known.get, zlib.crc32, KNOWN + 1
-        for t in texts:
-            own = words(t)
-            lengths.append(len(own))
-            out += (PAD, PAD)
-            out += [e if (e := get(w)) is not None else first + crc(w) % RARE for w in own]
-        out += (PAD, PAD)
-        return np.array(out, np.int64), np.array(lengths, np.int64)
-
-
-def _parts(texts: list[str | None], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``most`` characters together."""
-    first = size = 0
-    for i, t in enumerate(texts):
-        size += len(t) if t else 0
-        if size >= most:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
-
-
-def _places(lengths: np.ndarray) -> np.ndarray:
-    """The places of the real tokens among the padded ones."""
-    own = np.repeat(2 * np.arange(1, len(lengths) + 1), lengths)
-    return np.arange(int(lengths.sum())) + own
-
-
-def train(docs: DataFrame, text_col: str = "text", stride: int = STRIDE) -> tuple[Vocabulary, Network]:
-    spark = docs.sparkSession
-    listed, totals = vocabulary(docs, text_col)
-    vocab, net = Vocabulary(listed), Network.fresh(totals)
-    for turn in range(stride):
-        shared = spark.sparkContext.broadcast((vocab, net.flat))
+def train(encoded: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Network:
+    """The network after ``rounds`` rounds over ``encoded``."""
+    spark, net = encoded.sparkSession, Network.fresh(vocab.totals)
+    shards = encoded.rdd.getNumPartitions()
+    for turn in range(rounds):
+        shared = spark.sparkContext.broadcast(net.flat)
 
         def run(batches: Iterator[pd.DataFrame], turn: int = turn) -> Iterator[pd.DataFrame]:
-            vocab, flat = shared.value
-            own, squares, seen = Network(flat.copy()), np.full(len(flat), 1e-4, np.float32), 0
-            for b in batches:
-                texts = b[text_col].tolist()
-                for a, z in _parts(texts):
-                    tokens, lengths = vocab.tokens(texts[a:z])
-                    at = _places(lengths)[turn::stride]
-                    for k in range(0, len(at), 512):
-                        own.learn(tokens, at[k : k + 512], squares)
-                    seen += len(at)
+            flat = shared.value
+            own, squares, seen, shard = Network(flat.copy()), Network(np.full(len(flat), 1e-6, np.float32)), 0, 0
+            for part in parts(batches):
+                shard = int(part["shard"].iloc[0])
+                tokens, places = padded(_entries(part["tokens"]))
+                at = np.random.default_rng(3).permutation(places[turn::rounds])
+                for k in range(0, len(at), BATCH):
+                    own.learn(tokens, at[k : k + BATCH], squares)
+                seen += len(at)
             if seen:
-                part = TaskContext.get().partitionId()
                 chunks = range(0, len(flat), _CHUNK)
-                yield pd.DataFrame({"chunk": range(len(chunks)), "salt": part % 64, "n": float(seen), "x": [own.flat[c : c + _CHUNK].astype(np.float64) * seen for c in chunks]})
+                yield pd.DataFrame({"chunk": range(len(chunks)), "shard": shard, "n": float(seen), "x": [own.flat[c : c + _CHUNK].astype(np.float64) * seen for c in chunks]})
 
         def add(b: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"chunk": b["chunk"].iloc[:1], "salt": b["salt"].iloc[:1], "n": [b["n"].sum()], "x": [np.sum(np.stack(b["x"].to_list()), axis=0)]})
-
-        schema = "chunk int, salt int, n double, x array<double>"
-        copies = in_batches(docs.select(text_col)).mapInPandas(run, schema)
-        summed = copies.groupBy("chunk", "salt").applyInPandas(add, schema).groupBy("chunk").applyInPandas(add, schema)
-        rows = sorted(summed.collect(), key=lambda r: r["chunk"])  # one network
+            b = b.sort_values("shard")
+            return pd.DataFrame({"chunk": b["chunk"].iloc[:1], "shard": b["shard"].iloc[:1] // _FAN, "n": [b["n"].sum()], "x": [np.sum(np.stack(b["x"].to_list()), axis=0)]})
+
+        schema = "chunk int, shard int, n double, x array<double>"
+        copies, left = in_batches(encoded.select("shard", "tokens")).mapInPandas(run, schema), shards
+        while left > 1:
+            copies = copies.groupBy("chunk", F.floor(F.col("shard") / F.lit(_FAN))).applyInPandas(add, schema)
+            left = -(-left // _FAN)
+        rows = sorted(copies.collect(), key=lambda r: r["chunk"])  # one network
         if rows:
             net = Network(np.concatenate([np.array(r["x"]) / r["n"] for r in rows]).astype(np.float32))
-    return vocab, net
+    return net
 
 
-def score(docs: DataFrame, vocab: Vocabulary, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, log_likelihood, mean_log_likelihood), one row per row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, net.flat))
+def score(encoded: DataFrame, counts: DataFrame, vocab: Vocabulary, net: Network) -> DataFrame:
+    """(doc_id, n_tokens, log_likelihood, mean_log_likelihood), one row per row of ``encoded``."""
+    shared = encoded.sparkSession.sparkContext.broadcast(net.flat)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab, flat = shared.value
-        own = Network(flat)
-        for b in batches:
-            texts = b["text"].tolist()
-            for a, z in _parts(texts):
-                tokens, lengths = vocab.tokens(texts[a:z])
-                at = _places(lengths)
-                logp = np.empty(len(at), np.float64)
-                for k in range(0, len(at), _SLICE):
-                    logp[k : k + _SLICE] = own.forward(tokens, at[k : k + _SLICE])[0]
-                total = np.bincount(np.repeat(np.arange(z - a), lengths), logp, minlength=z - a)
-                mean = [t / n if n else None for t, n in zip(total.tolist(), lengths.tolist())]
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[a:z], "n_tokens": lengths, "log_likelihood": total, "mean_log_likelihood": pd.array(mean, dtype="Float64")})
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return in_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInPandas(run, f"doc_id {kind}, n_tokens long, log_likelihood double, mean_log_likelihood double")
+        own = Network(shared.value)
+        for b in parts(batches):
+            docs = _entries(b["tokens"])
+            tokens, at = padded(docs)
+            logp = np.empty(len(at), np.float64)
+            for k in range(0, len(at), _SLICE):
+                logp[k : k + _SLICE] = own.forward(tokens, at[k : k + _SLICE])[0]
+            lengths = np.array([len(d) for d in docs])
+            total = np.bincount(np.repeat(np.arange(len(docs)), lengths), logp, minlength=len(docs))
+            yield pd.DataFrame({"_row": b["_row"], "doc_id": b["doc_id"], "n_tokens": lengths, "sum": total + b["part"].to_numpy()})
+
+    kind = encoded.schema["doc_id"].dataType.simpleString()
+    net_part = in_batches(encoded.select("_row", "doc_id", "tokens", "part")).mapInPandas(run, f"_row long, doc_id {kind}, n_tokens long, sum double")
+    of_entry = encoded.sparkSession.createDataFrame([(k, float(vocab.totals[1 + OWN + k])) for k in range(SHARED)], "k long, total double")
+    known = counts.join(F.broadcast(of_entry), F.pmod("h", F.lit(SHARED)) == F.col("k")).select(F.col("h").alias("_h"), F.log(F.col("n") / F.col("total")).alias("_log"))
+    rare = encoded.select("_row", F.explode("rare").alias("_rare")).join(known, F.col("_rare") == F.col("_h"))
+    rare = rare.groupBy(F.col("_row").alias("_r")).agg(F.sum("_log").alias("_words"))
+    whole = F.col("sum") + F.coalesce("_words", F.lit(0.0))
+    mean = F.when(F.col("n_tokens") > 0, whole / F.col("n_tokens"))
+    return net_part.join(rare, F.col("_row") == F.col("_r"), "left").select("doc_id", "n_tokens", whole.alias("log_likelihood"), mean.alias("mean_log_likelihood"))
+
+
+def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard: int = SHARD) -> DataFrame:
+    """Count, encode, train and score: the whole operator over ``docs``."""
+    counts = word_counts(docs, text_col)
+    vocab = vocabulary(counts)
+    encoded = encode(docs, vocab, id_col, text_col, shard)
+    return score(encoded, counts, vocab, train(encoded, vocab))

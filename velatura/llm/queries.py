@@ -21,8 +21,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return lm_score.score(docs, *lm_score.train(docs))
+    return lm_score.pseudo_likelihood(table(spark, sf_dir, "documents"))
 
 
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
