@@ -6,22 +6,23 @@ above is shared again among the others by weight, until none is above. With the
 sorted by cap / weight this has a closed form: the first k are capped and the others get
 one common rate, (total - sum of the first k caps) / (sum of the other weights).
 
-Blocks. The documents of each source are put in a shuffled order (a hash of the id) and their
-words are cut into blocks of equal size (within one word), about ``block_words`` each.
-
-Schedule. Slot i of the mix draws from the source in whose stretch of the cumulative quotas the
-golden-ratio point frac(i * 0.618...) falls; the points are so evenly spread that any run of slots
-holds each source at its weight. The slot's rank among the slots of its source names the block it takes,
-wrapping round after the last. A source's quota is target / size * blocks; ranks past it are dropped, ranks
-that the points left out (a few per source) are appended, and the last one takes a fraction of a block: so
-a source's words come to its target within a word, and no block, hence no document, is taken more than ``cap`` times.
-
-Scale. Only (id, source, size) leave the text. Ranks and offsets are prefix sums in two levels (within
-hash buckets or runs of slots, then over their totals), so that a hot source is spread over all tasks.
-
-Defined cases: a null text has no words; documents without words take no part in blocks and have taken 0;
-rows that repeat an id are laid out and taken each on its own, being told apart by a row number; a table without words
-has target and taken 0; extra columns are kept by ``mix`` and not read by ``mix_plan``.
+Blocks. The documents of each source are put in a shuffled order (a hash of the id) and their words are cut into blocks of equal
+size (within one word): about ``block_words`` each, but no fewer than ``least`` blocks to a source that has the words.
+
+Schedule. Slot i of the mix draws from the source in whose stretch of the cumulative quotas (target in blocks of the source) the
+golden-ratio point frac(i * 0.618...) falls. The slot's rank among the slots of its source names the block it takes,
+wrapping round after the last. The points alone decide how many slots a source gets: they are so evenly spread that any run of slots, and so the
+whole mix, holds each source at its weight to within a few blocks, less than a hundredth of any source of ``least`` blocks. A slot whose
+source has no take left (a rank past ``cap`` times its blocks) draws nothing, so no document is taken more than ``cap`` times.
+
+Order. ``first_slot`` of a document is the first slot that takes a word of it; ``mix`` returns its rows in the order of the slots they are drawn at.
+
+Scale. Only (id, source, size) leave the text for the plan. Ranks and offsets are prefix sums in two levels (within
+hash buckets or runs of slots, then over their totals), so that a hot source is spread over all tasks. What ``mix`` returns is joined and dealt by row and slot, which have no hot keys.
+
+Defined cases: a null text has no words; documents without words take no part in blocks, have taken 0 and no slot;
+rows that repeat an id are laid out and taken each on its own, being told apart by a row number; ties in the shuffled order go by id and row; very long texts
+span many blocks; a table without words has target and taken 0; an empty table gives an empty result; extra columns are kept by ``mix`` whatever their names and not read by ``mix_plan``.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ WEIGHTS = (3, 1, 2)
 GOLDEN = 0.6180339887498949
 _RUN = 4096  # slots in a run, hash buckets of a source
 _GRID = 1024  # cells of the grid in which points find their source
+LEAST = 512  # blocks of a source, if it has as many words
+_STEP = 1 << 20
 
 
 def word_count(text: Column) -> Column:
@@ -79,12 +82,10 @@ def _offsets(rows: DataFrame, amount: str, out: str) -> DataFrame:
     return placed.join(totals, ["_source", "_bucket"]).withColumn(out, F.col("_base") + F.col("_in")).drop("_base", "_in", "_bucket")
 
 
-def _quotas(targets: DataFrame, block_words: int) -> DataFrame:
+def _quotas(targets: DataFrame, block_words: int, least: int) -> DataFrame:
     """Per source with words: number of blocks, quota in blocks, and its stretch of [0, 1)."""
-    q = targets.where("source_size > 0").select(
-        F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("_source"), "source_size", "target",
-        F.ceil(F.col("source_size") / F.lit(block_words)).cast("long").alias("_blocks"),
-    )
+    blocks = F.greatest(F.ceil(F.col("source_size") / F.lit(block_words)).cast("long"), F.least(F.col("source_size"), F.lit(least)))
+    q = targets.where("source_size > 0").select(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("_source"), "source_size", "target", blocks.alias("_blocks"))
     q = q.withColumn("_quota", F.col("target") / F.col("source_size") * F.col("_blocks"))
     order = Window.orderBy("_source")
     every = Window.partitionBy()
@@ -93,54 +94,46 @@ def _quotas(targets: DataFrame, block_words: int) -> DataFrame:
     return q.withColumn("_last", F.lead("_high").over(order).isNull())
 
 
-def _point(slot: Column) -> Column:
-    """frac(slot * GOLDEN), the slot split so that no precision is lost at large numbers."""
-    step = 1 << 20
-    high = math.fmod(step * GOLDEN, 1.0)
-    x = F.floor(slot / F.lit(step)) * F.lit(high) + (slot % step) * F.lit(GOLDEN)
+def point(slot: Column, golden: float = GOLDEN) -> Column:
+    """frac(slot * golden), the slot split so that no precision is lost at large numbers."""
+    x = F.floor(slot / F.lit(_STEP)) * F.lit(math.fmod(_STEP * golden, 1.0)) + (slot % _STEP) * F.lit(golden)
     return x - F.floor(x)
 
 
-def schedule(quotas: DataFrame) -> DataFrame:
-    """(_source, _rank, _part): the slots of the mix, ``_part`` being the share of its block a slot takes.
+def n_slots(quotas: DataFrame) -> int:
+    return quotas.agg(F.ceil(F.sum("_quota") - 1e-6).cast("long")).first()[0] or 0
+
+
+def schedule(quotas: DataFrame, slots: int, golden: float = GOLDEN) -> DataFrame:
+    """(_source, _rank, _slot) of all slots.
 
     ``quotas`` is one row per source (see ``_quotas``). Points find their stretch by a join on a cell of
     a grid over [0, 1), so that the number of sources is not limited.
     """
-    total = quotas.agg(F.ceil(F.sum("_quota")).cast("long")).first()[0] or 0
-    slots = quotas.sparkSession.range(total).select(F.col("id").alias("_slot"), _point(F.col("id")).alias("_point"))
-    slots = slots.withColumn("_cell", F.floor(F.col("_point") * _GRID))
+    points = quotas.sparkSession.range(slots).select(F.col("id").alias("_slot"), point(F.col("id"), golden).alias("_point"))
+    points = points.withColumn("_cell", F.floor(F.col("_point") * _GRID))
     cells = F.sequence(F.floor(F.col("_low") * _GRID), F.least(F.floor(F.col("_high") * _GRID), F.lit(_GRID - 1).cast("long")))
     stretches = quotas.select("_source", "_low", "_high", "_last", F.explode(cells).alias("_cell"))
     within = (F.col("_point") >= F.col("_low")) & ((F.col("_point") < F.col("_high")) | F.col("_last"))
-    drawn = slots.join(small_side(stretches), (slots["_cell"] == stretches["_cell"]) & within)
+    drawn = points.join(small_side(stretches), (points["_cell"] == stretches["_cell"]) & within)
     drawn = drawn.select("_source", "_slot", F.floor(F.col("_slot") / F.lit(_RUN)).alias("_run"))
     inner = Window.partitionBy("_source", "_run").orderBy("_slot")
     outer = Window.partitionBy("_source").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     counts = drawn.groupBy("_source", "_run").agg(F.count(F.lit(1)).alias("_n"))
     bases = counts.select("_source", "_run", F.coalesce(F.sum("_n").over(outer), F.lit(0)).alias("_base"))
-    ranked = drawn.withColumn("_in", F.row_number().over(inner) - 1).join(bases, ["_source", "_run"]).select("_source", (F.col("_base") + F.col("_in")).alias("_rank"))
-    met = ranked.join(small_side(quotas.select("_source", "_quota")), "_source").where(F.col("_rank") < F.col("_quota"))
-    missing = (
-        quotas.join(counts.groupBy("_source").agg(F.sum("_n").alias("_n")), "_source", "left")
-        .withColumn("_n", F.coalesce("_n", F.lit(0)))
-        .where(F.col("_n") < F.ceil("_quota"))
-        .select("_source", F.explode(F.sequence(F.col("_n"), F.ceil("_quota") - 1)).alias("_rank"), "_quota")
-    )
-    return met.unionByName(missing).select("_source", "_rank", F.least(F.lit(1.0), F.col("_quota") - F.col("_rank")).alias("_part"))
+    ranked = drawn.withColumn("_in", F.row_number().over(inner) - 1).join(bases, ["_source", "_run"])
+    return ranked.select("_source", (F.col("_base") + F.col("_in")).alias("_rank"), "_slot")
 
 
-def _placed(rows: DataFrame, targets: DataFrame, block_words: int) -> DataFrame:
-    """(_row, taken) of ``rows`` (_row, _id, _source, size): each document's overlap with the blocks taken."""
-    quotas = checkpointed(_quotas(targets, block_words))
-    slots = schedule(quotas)
+def _placed(rows: DataFrame, quotas: DataFrame, slots: int, cap: float, golden: float) -> DataFrame:
+    """(_row, taken, first_slot, _slots) of ``rows`` (_row, _id, _source, size): each document's overlap with the blocks taken, the
+    first slot that takes of it, and the slots of the block it begins in (``cap`` at most)."""
     q = quotas.select("_source", "_blocks", F.col("source_size").alias("_total"))
-    # how often each block is taken whole, and the fraction of a last take
     taken = (
-        slots.join(small_side(q), "_source")
-        .select("_source", (F.col("_rank") % F.col("_blocks")).alias("_block"), "_part")
-        .groupBy("_source", "_block")
-        .agg(F.sum(F.when(F.col("_part") >= 1.0, 1).otherwise(0)).alias("_times"), F.sum(F.when(F.col("_part") < 1.0, F.col("_part")).otherwise(0.0)).alias("_fraction"))
+        schedule(quotas, slots, golden).join(small_side(q), "_source")
+        .where(F.col("_rank") < F.floor(F.lit(float(cap)) * F.col("_blocks")))
+        .groupBy("_source", (F.col("_rank") % F.col("_blocks")).alias("_block"))
+        .agg(F.count(F.lit(1)).alias("_times"), F.sort_array(F.collect_list("_slot")).alias("_slots"))
     )
     ordered = _offsets(rows.where("size > 0").withColumn("_order", shuffled(F.col("_id"))), "size", "_start")
     laid = ordered.drop("_order").join(small_side(q), "_source")
@@ -152,51 +145,67 @@ def _placed(rows: DataFrame, targets: DataFrame, block_words: int) -> DataFrame:
     end = F.expr("cast(((_block + 1) * _total) div _blocks as bigint)")
     parts = parts.withColumn("_b0", begin).withColumn("_b1", end).join(taken, ["_source", "_block"], "left")
     overlap = F.least(F.col("_b1"), F.col("_start") + F.col("size")) - F.greatest(F.col("_b0"), F.col("_start"))
-    mark = F.col("_b0") + F.floor(F.coalesce("_fraction", F.lit(0.0)) * (F.col("_b1") - F.col("_b0")) + F.lit(0.5)).cast("long")
-    partly = F.greatest(F.lit(0), F.least(mark, F.col("_start") + F.col("size")) - F.greatest(F.col("_b0"), F.col("_start")))
-    words = F.coalesce("_times", F.lit(0)) * overlap + partly
-    return parts.groupBy("_row").agg(F.sum(words).cast("long").alias("taken"))
+    return parts.groupBy("_row").agg(
+        F.sum(F.coalesce("_times", F.lit(0)) * overlap).cast("long").alias("taken"), F.min(F.col("_slots")[0]).alias("first_slot"), F.min_by("_slots", F.when(F.col("_slots").isNotNull(), F.col("_block"))).alias("_slots"),
+    )
 
 
-def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    sized = docs.select(
-        F.col(id_col).alias("_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+def _sized(docs: DataFrame, row: Column, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return docs.select(
+        row.alias("_row"), F.col(id_col).alias("_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
         F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("")).alias("_source"),
-    )
-    return sized.withColumn("_row", F.monotonically_increasing_id())
+    )
 
 
-def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5, cap: float = 2.0, block_words: int = 4096) -> DataFrame:
-    """(doc_id, size, source_size, target, taken), one row per document."""
-    # written once: the counting of words is the costly part, and the row numbers stay what they are
-    rows = checkpointed(_sized(docs, id_col, text_col, source_col))
+def _planned(rows: DataFrame, share: float, cap: float, block_words: int, least: int, golden: float) -> tuple[DataFrame, int]:
+    """``rows`` (_row, _id, source, _source, size) with source_size, target, taken, first_slot and _slots; and the number of slots."""
     targets = checkpointed(source_targets(rows, share, cap))
-    placed = _placed(rows.select("_row", "_id", "_source", "size"), targets, block_words).select("_row", "taken")
-    per = targets.select(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("_source"), "source_size", "target")
-    return (
-        rows.join(small_side(per), "_source").join(placed, "_row", "left")
-        .select(F.col("_id").alias("doc_id"), "size", "source_size", F.col("target").cast("double").alias("target"), F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
-    )
+    quotas = checkpointed(_quotas(targets, block_words, least))
+    slots = n_slots(quotas)
+    placed = _placed(rows.select("_row", "_id", "_source", "size"), quotas, slots, cap, golden)
+    per = targets.select(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("_source"), "source_size", F.col("target").cast("double").alias("target"))
+    return rows.join(small_side(per), "_source").join(placed, "_row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long")), slots
+
+
+def mix_plan(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5, cap: float = 2.0, block_words: int = 4096, least: int = LEAST, golden: float = GOLDEN
+) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, first_slot), one row per document."""
+    # written once: the counting of words is the costly part, and the row numbers stay what they are
+    rows = checkpointed(_sized(docs, F.monotonically_increasing_id(), id_col, text_col, source_col))
+    plan, _ = _planned(rows, share, cap, block_words, least, golden)
+    return plan.select(F.col("_id").alias("doc_id"), "size", "source_size", "target", "taken", "first_slot")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5, cap: float = 2.0, block_words: int = 4096) -> DataFrame:
-    """The mix itself, in the columns of ``docs``: each document as often as it is taken.
+def mix(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5, cap: float = 2.0, block_words: int = 4096, least: int = LEAST, golden: float = GOLDEN, lot_words: int = 1 << 22
+) -> DataFrame:
+    """The mix itself, in the columns of ``docs`` and in the order of the schedule: each document as often as it is taken.
 
-    A document taken ``c`` times whole and ``p`` words more gives ``c`` rows, and one row with its first
-    ``p`` words where p > 0 (one document per source at most, and those that meet a block's edge). A document of
-    which nothing is taken gives no row, except one without words, which is passed on as it is.
+    A document taken ``c`` times whole and ``p`` words more gives ``c`` rows, and one row with its first ``p`` words where p > 0 (documents
+    that meet a block's edge). A document of which nothing is taken gives no row, except one without words, which is passed on as it is.
+    Partitions follow one another in the order of the slots, about ``lot_words`` words each, and are sorted by it within.
     """
-    plan = mix_plan(docs, id_col, text_col, source_col, share, cap, block_words)
-    # rows that repeat an id share what was taken of them
-    plan = plan.groupBy(F.col("doc_id").alias("_mx_id")).agg(F.sum("taken").alias("_mx_taken"), F.count(F.lit(1)).alias("_mx_same"), F.max("size").alias("_mx_max"))
-    rows = docs.join(plan, F.col(id_col).eqNullSafe(F.col("_mx_id")))
-    rows = rows.withColumn("_mx_size", F.when(F.col("_mx_same") == 1, F.col("_mx_max")).otherwise(word_count(F.col(text_col))))
-    share_of = F.expr("_mx_taken div _mx_same")
-    rows = rows.withColumn("_mx_whole", F.when(F.col("_mx_size") == 0, 1).otherwise(F.floor(share_of / F.greatest("_mx_size", F.lit(1)))).cast("int"))
-    rows = rows.withColumn("_mx_rest", F.when(F.col("_mx_size") == 0, 0).otherwise(share_of % F.greatest("_mx_size", F.lit(1))).cast("int"))
+    names = [f"_mx_{k}" for k in range(len(docs.columns))]  # whatever the columns are called
+    of = dict(zip(docs.columns, names))
+    numbered = checkpointed(docs.toDF(*names).withColumn("_mx_row", F.monotonically_increasing_id()))
+    text = of[text_col]
+    sized = checkpointed(_sized(numbered, F.col("_mx_row"), of[id_col], text, of[source_col]))
+    plan, slots = _planned(sized, share, cap, block_words, least, golden)
+    words = sized.agg(F.sum("size")).first()[0] or 0
+    rows = numbered.join(plan.select(F.col("_row").alias("_mx_row"), "size", "taken", "_slots", "first_slot"), "_mx_row")
+    rows = rows.withColumn("_mx_whole", F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.greatest("size", F.lit(1)))).cast("int"))
+    rows = rows.withColumn("_mx_rest", F.when(F.col("size") == 0, 0).otherwise(F.col("taken") % F.greatest("size", F.lit(1))).cast("int"))
     n = F.col("_mx_whole") + (F.col("_mx_rest") > 0).cast("int")
     copies = rows.where(n > 0).withColumn("_mx_copy", F.explode(F.sequence(F.lit(1), n)))
-    words = F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-    head = F.array_join(F.slice(words, F.lit(1), F.col("_mx_rest")), "")
-    cut = F.when(F.col("_mx_copy") <= F.col("_mx_whole"), F.col(text_col)).otherwise(head)
-    return copies.select(*[cut.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    held = F.regexp_extract_all(F.col(text), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    head = F.array_join(F.slice(held, F.lit(1), F.col("_mx_rest")), "")
+    cut = F.when(F.col("_mx_copy") <= F.col("_mx_whole"), F.col(text)).otherwise(head)
+    lots = max(1, -(-int(share * words) // lot_words))
+    slot = F.coalesce(F.element_at("_slots", F.least(F.col("_mx_copy"), F.size("_slots"))), "first_slot")
+    # rows without words have no slot and are dealt by their number
+    lot = F.coalesce(F.floor(slot * F.lit(lots) / F.lit(max(1, slots))), F.pmod("_mx_row", F.lit(lots))).cast("int")
+    kept = [(cut if c == text else F.col(c)).alias(c) for c in names]
+    dealt = copies.select(*kept, "_mx_row", "_mx_copy", slot.alias("_mx_slot"), lot.alias("_mx_lot")).repartitionById(lots, F.col("_mx_lot"))
+    dealt = dealt.sortWithinPartitions(F.col("_mx_slot").asc_nulls_last(), "_mx_row", "_mx_copy")
+    return dealt.select(*names).toDF(*docs.columns)

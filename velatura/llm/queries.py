@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,11 +104,11 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM p QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
 """
 
-# Targets by filling up the sources in the order of cap / weight; then the documents laid out in the shuffled order, and the
-# blocks (words w with floor(b * total / blocks) <= w) taken as often as ranks 0, 1, ... below the quota name them.
-ORACLE["op2_mixing"] = r"""
+# Targets by filling up the sources in the order of cap / weight; golden-ratio points through the cumulative quotas give each slot its
+# source and rank; the documents are laid out in the shuffled order and cut by the blocks (words w with floor(b * total / blocks) <= w).
+ORACLE["op2_mixing"] = rf"""
 WITH d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+  SELECT row_number() OVER () AS row, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (
   SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS k, source_size * 2.0::DOUBLE AS cap,
@@ -118,24 +120,27 @@ o AS (
 f AS (SELECT arg_min(rate, n) AS rate, min(n) AS n FROM o WHERE rate * weight <= cap),
 t AS (
   SELECT source, source_size, CASE WHEN f.n IS NULL OR o.n < f.n THEN cap ELSE f.rate * weight END AS target,
-    CAST(ceil(source_size / 4096.0::DOUBLE) AS BIGINT) AS blocks FROM o, f),
+    greatest(CAST(ceil(source_size / 4096.0::DOUBLE) AS BIGINT), least(source_size, {mixing.LEAST})) AS blocks FROM o, f),
+q AS (SELECT *, target / source_size * blocks AS quota, coalesce('s' || source, '') AS key FROM t WHERE source_size > 0),
+c AS (
+  SELECT *, sum(quota) OVER (ORDER BY key) / sum(quota) OVER () AS high,
+    coalesce(sum(quota) OVER (ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(quota) OVER () AS low, lead(key) OVER (ORDER BY key) IS NULL AS last FROM q),
+i AS (SELECT unnest(generate_series(0, (SELECT CAST(ceil(sum(quota) - 1e-6) AS BIGINT) FROM q) - 1)) AS slot),
+x AS (SELECT slot, (slot // {mixing._STEP}) * {math.fmod(mixing._STEP * mixing.GOLDEN, 1.0)!r}::DOUBLE + (slot % {mixing._STEP}) * {mixing.GOLDEN!r}::DOUBLE AS x FROM i),
+r AS (
+  SELECT source, source_size, blocks, slot, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS rank
+  FROM x JOIN c ON x - floor(x) >= low AND (x - floor(x) < high OR last)),
+b AS (
+  SELECT source, rank % blocks AS b, (rank % blocks) * source_size // blocks AS b0, (rank % blocks + 1) * source_size // blocks AS b1, count(*) AS times, min(slot) AS slot
+  FROM r WHERE rank < 2 * blocks GROUP BY source, rank % blocks, source_size, blocks),
 h AS (SELECT *, ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15))::BIGINT AS h FROM d WHERE size > 0),
 l AS (
-  SELECT doc_id, source, size, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY h % 4096, h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM h),
-r AS (
-  SELECT source, source_size, blocks, target / source_size * blocks AS quota, unnest(generate_series(0, CAST(ceil(target / source_size * blocks) AS BIGINT) - 1)) AS rank
-  FROM t WHERE source_size > 0),
+  SELECT row, source, size, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY h % 4096, h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM h),
 p AS (
-  SELECT source, source_size, rank % blocks AS b, blocks, least(1.0::DOUBLE, quota - rank) AS part FROM r),
-b AS (
-  SELECT source, b * source_size // blocks AS b0, (b + 1) * source_size // blocks AS b1, sum(CASE WHEN part >= 1 THEN 1 ELSE 0 END) AS times,
-    sum(CASE WHEN part < 1 THEN part ELSE 0.0::DOUBLE END) AS fraction FROM p GROUP BY source, b, source_size, blocks),
-x AS (
-  SELECT l.doc_id, sum(times * greatest(0, least(b1, start + size) - greatest(b0, start))
-    + greatest(0, least(b0 + CAST(floor(fraction * (b1 - b0) + 0.5::DOUBLE) AS BIGINT), start + size) - greatest(b0, start))) AS taken
-  FROM l JOIN b ON l.source IS NOT DISTINCT FROM b.source AND b0 < start + size AND b1 > start GROUP BY l.doc_id)
-SELECT d.doc_id, d.size, t.source_size, t.target, CAST(coalesce(x.taken, 0) AS BIGINT) AS taken
-FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN x ON d.doc_id = x.doc_id
+  SELECT l.row, sum(times * greatest(0, least(b1, start + size) - greatest(b0, start))) AS taken, min(slot) AS first_slot
+  FROM l JOIN b ON l.source IS NOT DISTINCT FROM b.source AND b0 < start + size AND b1 > start GROUP BY l.row)
+SELECT d.doc_id, d.size, t.source_size, t.target, CAST(coalesce(p.taken, 0) AS BIGINT) AS taken, p.first_slot
+FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN p ON d.row = p.row
 """
 
 ORACLE["op6_line_dedup"] = r"""
