@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -35,18 +36,45 @@ def test_scores_tell_toxic_from_clean(spark):
     assert any(r["evidence"] for r in out if r["predicted"])
 
 
-def test_block_max_search_is_exact(spark):
+def test_block_max_search_is_exact():
     r = np.random.default_rng(2)
-    vocabulary = {f"w{i}".encode(): i for i in range(30)}
-    idf = r.uniform(1, 5, 30)
-    vectors = [toxicity.vector({int(t): int(n) for t, n in zip(r.choice(30, 4, replace=False), r.integers(1, 9, 4))}, idf) for _ in range(700)]
-    index = toxicity.Index(vocabulary, idf, list(range(700)), r.integers(0, 2, 700).astype(float), vectors, 0.1)
-    for q in vectors[:40]:
-        got = index.nearest(q, 15)
-        cosine = {i: sum(w * q.get(t, 0) for t, w in v.items()) for i, v in enumerate(vectors)}
-        want = sorted((c for c in cosine.values() if c > 0), reverse=True)[:15]
-        assert np.allclose([c for c, _ in got], want)
-        assert all(math.isclose(cosine[int(index.ids[p])], c) for c, p in got)
+    # weights of many sizes, so that blocks are left out, and repeats, so that there are ties
+    examples = [(i, int(i % 9 == 0), {f"w{t}".encode(): int(n) for t, n in zip(r.zipf(1.3, 8) % 400, r.integers(1, 9, 8))}) for i in range(1500)]
+    examples += [(2000 + i, y, c) for i, y, c in examples[:40]]
+    index = toxicity.Index((i, y, list(c), list(c.values())) for i, y, c in examples)
+    docs = {i: c for i, _, c in examples}
+    n = Counter(t for c in docs.values() for t in c)
+    p = Counter(t for _, y, c in examples if y for t in c)
+    names = list(n)
+    weights = dict(zip(names, toxicity.term_weights(np.array([n[t] for t in names], float), np.array([p[t] for t in names], float), len(examples), sum(y for _, y, _ in examples))))
+
+    def unit(counts):
+        v = {t: (1 + math.log(k)) * weights[t] for t, k in counts.items() if t in weights}
+        length = math.sqrt(sum(w * w for w in v.values()))
+        return {t: w / length for t, w in v.items()}
+
+    vectors = {i: unit(c) for i, c in docs.items()}
+    for c in [*list(docs.values())[:40], {b"w1": 3, b"unknown": 5}]:
+        q = unit(c)
+        got = index.nearest(index.vector(c))
+        cosine = {i: sum(w * q.get(t, 0) for t, w in v.items()) for i, v in vectors.items()}
+        assert np.allclose([c for c, _ in got], sorted((c for c in cosine.values() if c > 0), reverse=True)[:15])
+        assert all(math.isclose(cosine[index.ids[k]], c, abs_tol=1e-6) for c, k in got)
+    alone = index.nearest(index.vector(docs[0]), leave=index.ids.index(0))
+    assert 0 not in [index.ids[k] for _, k in alone] and index.ids[alone[0][1]] == 2000
+
+
+def test_every_term_of_the_examples_is_kept(spark):
+    rows, labels = corpus(100)
+    index = toxicity.fit(table(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert set(index.vocabulary) == {w for _, t, _ in rows for w in toxicity.words(t)} and len(index.ids) == 100
+
+
+def test_rows_that_repeat_an_id_give_one_example(spark):
+    rows, labels = corpus(60)
+    docs = table(spark, rows + [(3, f"more {k}", "a") for k in range(50)])
+    index = toxicity.fit(docs, spark.createDataFrame(labels + labels, "doc_id long, quality int, toxic int"))
+    assert sorted(index.ids) == list(range(60))
 
 
 def test_without_labels_and_empty(spark):
