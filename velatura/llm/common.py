@@ -15,6 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """``scan`` (of a table), dealt anew if it has fewer splits than there are cores: work in Python would leave cores idle."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, its lineage cut there.
 

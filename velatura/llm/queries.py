@@ -8,11 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup, langid, line_dedup, lm_score, mixing, neighbours, packing, quality, simhash, toxicity
-from .common import fold, table
+from .common import fold, spread, table
+
+
+def _texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", *columns))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs, labels = _texts(spark, sf_dir), table(spark, sf_dir, "labels")
     held_out = fold("doc_id", 5) == 0
     index = toxicity.fit(docs, labels, "toxic", ~held_out)
     return toxicity.score(docs, index).select("doc_id", held_out.alias("held_out"), "score", "predicted")
@@ -23,18 +27,18 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_score.pseudo_likelihood(table(spark, sf_dir, "documents"))
+    return lm_score.pseudo_likelihood(_texts(spark, sf_dir))
 
 
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = _texts(spark, sf_dir, "lang")
     held_out = fold("doc_id", 4) == 2
     model = langid.fit(docs, ~held_out)
     return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), F.col("lang_nearest").alias("lang_pred"), "score", "rejected")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3)
+    return simhash.simhash_components(_texts(spark, sf_dir), shingle=3)
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +48,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The site is the source, its paths are the source's languages."""
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs, labels = _texts(spark, sf_dir, "lang", "source"), table(spark, sf_dir, "labels")
     held_out = fold("doc_id", 5) == 0
     classifier = quality.fit(docs, labels, ~held_out)
     return quality.posteriors(docs, classifier, *site(docs)).withColumn("held_out", held_out)
@@ -66,7 +70,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(_texts(spark, sf_dir), tokenizer_path())
 
 
 def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
