@@ -9,8 +9,8 @@ Pairs. Two fingerprints within ``radius`` = 3 bits differ in at most one bit in
 half and a search radius of 1, and a candidate counts if the whole distance is at most 3. This keeps
 the overlaps small: a vantage point parts fingerprints into d <= m and d > m, and only those with d = m have to be shown
 to the far side as guests (a pair over the boundary needs one of its two ends shown).
-The upper levels of each tree are grown on a bounded sample of distinct fingerprints and route all of them to
-shards; each shard goes on dividing what it got, with vantage points of its own, pruned by the
+The upper levels of each tree are grown on a bounded sample of distinct fingerprints, those below it draw their points by a hash, as many levels as
+shards of bounded size take; they route all fingerprints to shards, and each shard goes on dividing what it got, with vantage points of its own, pruned by the
 triangle bound, down to leaves in which all home-home and home-guest distances are computed. All pairs
 are found; the sample decides only how even the shards are.
 
@@ -24,7 +24,7 @@ bits than Hamming search can reach, MinHash bands give candidates beside the fin
 every pair that shares a band or a fingerprint component and that no chain of links found before joins.
 
 Defined cases: null texts have no words (fingerprint 0, linked like any other); ties and repeated rows
-share a node; an empty table gives an empty result; extra columns are not read by ``simhash_components`` and all
+share a node; a fingerprint that only rows without an id have gets a null component_id; very long texts are shingled whole; an empty table gives an empty result; extra columns are not read by ``simhash_components`` and all
 kept by ``simhash_dedup``.
 """
 
@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, in_batches, small_side, unit_hash
+from .common import checkpointed, in_batches, join_hot, small_side, unit_hash
 from .components import connected_components, tree_edges
 
 RADIUS = 3
@@ -122,18 +122,27 @@ def _vantage(pts: np.ndarray, mask: np.uint64, rng: np.random.Generator) -> tupl
     return best[1], best[2]
 
 
-def route(fps: np.ndarray, nodes: list[tuple[int, int]], mask: np.uint64, radius: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(index, shard, home) of every visit: each fingerprint at home in one shard and a guest in those behind its boundaries."""
+def _drawn(at: int) -> tuple[np.uint64, int]:
+    """The vantage point of a node below the grown ones: a number drawn by the node's place, which parts what is spread evenly at its middle."""
+    return np.uint64(xxhash.xxh64_intdigest(at.to_bytes(8, "little"), 42)), 15
+
+
+def route(fps: np.ndarray, nodes: list[tuple[int, int]], mask: np.uint64, radius: int = 1, depth: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(index, shard, home) of every visit: each fingerprint at home in one shard and a guest in those behind its boundaries.
+
+    ``depth`` levels lead to the shards, those of ``nodes`` first.
+    """
     out = []
+    inner = len(nodes) if depth is None else (1 << depth) - 1
     todo = [(0, np.arange(len(fps)), np.ones(len(fps), bool))]
     while todo:
         at, idx, home = todo.pop()
         if not len(idx):
             continue
-        if at >= len(nodes):
-            out.append((idx, np.full(len(idx), at - len(nodes), np.int64), home))
+        if at >= inner:
+            out.append((idx, np.full(len(idx), at - inner, np.int64), home))
             continue
-        point, m = nodes[at]
+        point, m = nodes[at] if at < len(nodes) else _drawn(at)
         (i1, h1), (i2, h2) = _part(fps, idx, home, np.uint64(point), m, mask, radius)
         todo += [(2 * at + 1, i1, h1), (2 * at + 2, i2, h2)]
     if not out:
@@ -199,18 +208,18 @@ def links(nodes: DataFrame, sample: int = SAMPLE, shard: int = SHARD) -> DataFra
     """(src, dst) edges between node ids of ``nodes`` (fp, node), connecting all fingerprints within ``RADIUS`` bits."""
     spark = nodes.sparkSession
     n = nodes.count()
-    depth = max(0, (max(1, n) // shard).bit_length())
-    depth = min(depth, (sample // 16).bit_length() - 1)
+    depth = max(0, (max(1, n) // shard).bit_length())  # grows with the fingerprints, so that shards do not
+    grown = min(depth, max(0, (sample // 16).bit_length() - 1))
     some = nodes if n <= sample else nodes.where(unit_hash(F.col("fp"), 23) < sample / n)
     points = np.array([r[0] for r in some.select("fp").collect()], np.int64).view(np.uint64)  # ``sample`` at most
     points.sort()
-    trees = spark.sparkContext.broadcast([grow(points, mask, depth) for mask in _MASKS])
+    trees = spark.sparkContext.broadcast([grow(points, mask, grown) for mask in _MASKS])
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fps = b["fp"].to_numpy(np.int64).view(np.uint64)
             for half, mask in enumerate(_MASKS):
-                idx, to, home = route(fps, trees.value[half], mask)
+                idx, to, home = route(fps, trees.value[half], mask, depth=depth)
                 yield pd.DataFrame({"shard": to * 2 + half, "home": home, "fp": fps[idx].view(np.int64), "node": b["node"].to_numpy()[idx]})
 
     def search(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
@@ -224,13 +233,14 @@ def links(nodes: DataFrame, sample: int = SAMPLE, shard: int = SHARD) -> DataFra
 
 def _components(marked: DataFrame) -> DataFrame:
     """(doc_id, fp, component_id) from (doc_id, fp)."""
-    nodes = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").cast("long").alias("node")).where("node is not null"))
+    every = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").cast("long").alias("node"), F.count(F.lit(1)).alias("_n")))
+    nodes = every.where("node is not null").drop("_n")
     component = connected_components(checkpointed(links(nodes)))
     label = nodes.join(component, "node").select("fp", "component")
-    # nodes outside every link are their own component; one fingerprint may hold a third of all rows, which the
-    # skew handling of the sort-merge join splits
-    per = nodes.join(label, "fp", "left").select(F.col("fp").alias("_fp"), F.coalesce("component", "node").alias("component_id"))
-    return marked.select("doc_id", "fp").join(per, F.col("fp") == F.col("_fp"), "left").drop("_fp")
+    # nodes outside every link are their own component; one fingerprint may hold a third of all rows
+    per = every.join(label, "fp", "left").select("fp", "_n", F.coalesce("component", "node").alias("component_id"))
+    n = every.agg(F.sum("_n")).first()[0] or 0
+    return join_hot(marked.select("doc_id", "fp"), per, "fp", "_n", n, F.col("doc_id")).select("doc_id", "fp", "component_id")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -289,28 +299,45 @@ def _texts(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataF
     return texts.groupBy("_id").agg(F.max("_text").alias("_text"))
 
 
-def _head_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle: int, least: float) -> DataFrame:
-    """(src, dst): each document with the smallest id of each of its buckets, if they are near."""
+def _sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(_id, digest, grams): the sorted set of shingle hashes of each document of ``members``, and a digest of it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            grams = [np.unique(shingle_hashes(t, shingle)).tobytes() for t in b["_text"]]
+            yield pd.DataFrame({"_id": b["_id"], "digest": [xxhash.xxh3_128_digest(g) for g in grams], "grams": grams})
+
+    ids = checkpointed(members.select(F.col("doc_id").alias("_id")).distinct())
+    return checkpointed(in_batches(_texts(docs, ids, id_col, text_col)).mapInPandas(run, "_id long, digest binary, grams binary"))
+
+
+def _head_links(members: DataFrame, sets: DataFrame, least: float, piece: int = 512) -> DataFrame:
+    """(src, dst): each document with the smallest id of each of its buckets, if they are near.
+
+    The documents that point to a head are dealt into pieces of about ``piece``, each of which gets the head's set once: a head of very many is no hot key.
+    """
     pairs = checkpointed(members.select(F.col("doc_id").alias("a"), F.col("_head").alias("b")).where("a <> b").distinct())
-    ids = checkpointed(pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct())
-    # only texts of candidates move; a head that very many others point to is split by the skew handling
-    texts = _texts(docs, ids, id_col, text_col)
-    own = pairs.join(texts.select(F.col("_id").alias("a"), F.col("_text").alias("_a_text")), "a")
-    both = own.join(texts.select(F.col("_id").alias("b"), F.col("_text").alias("_b_text")), "b").select("a", "b", "_a_text", "_b_text")
+    pieces = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / F.lit(piece)).alias("_k"))
+    heads = pieces.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1))).select(F.col("b").alias("id"), "b", "part", F.lit(0).alias("side"))
+    own = pairs.join(pieces, "b").select(F.col("a").alias("id"), "b", F.pmod(F.xxhash64("a"), F.col("_k")).alias("part"), F.lit(1).alias("side"))
+    visits = heads.unionByName(own).join(sets.select(F.col("_id").alias("id"), "grams"), "id")
+    visits = visits.select("b", "part", "side", "id", "grams").repartition("b", "part").sortWithinPartitions("b", "part", "side")
 
     def like(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, of_last = None, np.empty(0, np.uint64)
+        head = np.empty(0, np.uint64)
         for p in batches:
-            alike = []
-            for b, x, y in zip(p["b"], p["_a_text"], p["_b_text"]):
-                if b != last:
-                    last, of_last = b, np.unique(shingle_hashes(y, shingle))
-                own = np.unique(shingle_hashes(x, shingle))
-                common = len(np.intersect1d(own, of_last, assume_unique=True))
-                alike.append(common >= least * (len(own) + len(of_last) - common))
-            yield pd.DataFrame({"src": p["a"], "dst": p["b"]})[np.array(alike, bool)]
+            out = []
+            for b, side, i, grams in zip(p["b"], p["side"], p["id"], p["grams"]):
+                own = np.frombuffer(grams, np.uint64)
+                if side == 0:
+                    head = own
+                    continue
+                common = len(np.intersect1d(own, head, assume_unique=True))
+                if common >= least * (len(own) + len(head) - common):
+                    out.append((i, b))
+            yield pd.DataFrame(out, columns=["src", "dst"], dtype="int64")
 
-    return in_batches(both).mapInPandas(like, "src long, dst long")
+    return in_batches(visits).mapInPandas(like, "src long, dst long")
 
 
 def block_links(left: list[np.ndarray], right: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -331,7 +358,7 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray], least: float) -
     return np.nonzero(common >= least * (sizes[: len(left), None] + sizes[None, len(left) :] - common))
 
 
-def _pair_links(docs: DataFrame, members: DataFrame, label: DataFrame, id_col: str, text_col: str, shingle: int, least: float, block: int = BLOCK) -> DataFrame:
+def _pair_links(members: DataFrame, label: DataFrame, found: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
     """(src, dst): links that join what is near within a bucket and not yet joined by ``label`` (node, component).
 
     Every pair of a bucket is compared, except those of one component and those compared with the head before. Equal sets are one
@@ -346,13 +373,8 @@ def _pair_links(docs: DataFrame, members: DataFrame, label: DataFrame, id_col: s
     mixed = kinds.where("_n > 2 and _lo <> _hi").groupBy("_n", "_s1", "_s2").agg(F.min("key").alias("key")).select("key")
     open_ = checkpointed(labelled.join(mixed, "key"))
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            grams = [np.unique(shingle_hashes(t, shingle)).tobytes() for t in b["_text"]]
-            yield pd.DataFrame({"_id": b["_id"], "digest": [xxhash.xxh3_128_digest(g) for g in grams], "grams": grams})
-
-    ids = checkpointed(open_.select(F.col("doc_id").alias("_id")).distinct())
-    found = checkpointed(in_batches(_texts(docs, ids, id_col, text_col)).mapInPandas(sets, "_id long, digest binary, grams binary"))
+    ids = open_.select(F.col("doc_id").alias("_id")).distinct()
+    found = found.join(ids, "_id", "left_semi")
     first = found.groupBy("digest").agg(F.min("_id").alias("rep"))
     same = checkpointed(found.select("_id", "digest").join(first, "digest").select(F.col("_id").alias("doc_id"), "rep"))
     reps = open_.join(same, "doc_id").select("key", F.col("rep").alias("id")).distinct()
@@ -419,8 +441,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     need not be compared again, so that a large group of copies costs little.
     """
     members = buckets(docs, id_col, text_col, shingle)
-    found = checkpointed(connected_components(checkpointed(_head_links(docs, members, id_col, text_col, shingle, least))))
-    more = checkpointed(_pair_links(docs, members, found, id_col, text_col, shingle, least))
+    sets = _sets(docs, members, id_col, text_col, shingle)
+    found = checkpointed(connected_components(checkpointed(_head_links(members, sets, least))))
+    more = checkpointed(_pair_links(members, found, sets, least))
     if not more.isEmpty():
         found = connected_components(found.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(more))
     return found.select(F.col("node").alias("doc_id"), F.col("component").alias("group_id"))
