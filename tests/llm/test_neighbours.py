@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from velatura.llm.neighbours import Heaps, nearest, recall
+from velatura.llm.neighbours import Heaps, _codes, nearest, recall
 
 
 def brute(ids, xs, queries, k):
@@ -33,7 +34,7 @@ def test_against_brute_force(spark, block, stripe):
     x[20] = [1e6 * c for c in x[20]]
     rows = spark.createDataFrame([(i, v, "x") for i, v in enumerate(x)], "vec_id long, embedding array<float>, score string")
     got = {}
-    out = nearest(rows.where("vec_id % 20 = 0 or vec_id in (12, 13, 18)"), rows, 20, query_block=block, stripe=stripe)
+    out = nearest(rows, F.expr("vec_id % 20 = 0 or vec_id in (12, 13, 18)"), 20, query_block=block, stripe=stripe)
     for q in sorted(out.collect(), key=lambda q: (q["query_id"], q["rank"])):
         got.setdefault(q["query_id"], []).append((q["vec_id"], q["score"]))
     clean = [ok(None if v is None else [None if c is None else np.float32(c) for c in v]) for v in x]
@@ -47,16 +48,29 @@ def test_against_brute_force(spark, block, stripe):
 def test_bounds_hold():
     r = np.random.default_rng(5)
     x = r.normal(size=(200, 8)) * r.exponential(10, size=(200, 1))
-    h = Heaps(np.arange(5), x[:5], 7)
+    codes, scale, norm, error = _codes(x)
+    whole = np.sqrt((x**2).sum(axis=1))
+    h = Heaps(np.arange(5), codes[:5], scale[:5], norm[:5], error[:5], 7)
     for at in range(0, 200, 30):
-        h.meet(np.arange(at, min(200, at + 30)), x[at : at + 30])
-    for q in range(5):
-        s = x @ x[q]
-        s[q] = -np.inf
-        assert h.found[q].tolist() == np.argsort(-s)[:7].tolist()
+        t = slice(at, min(200, at + 30))
+        h.meet(np.arange(200)[t], codes[t], scale[t], error[t], whole[t])
+    q, row, low, high = h.survivors()
+    exact = (x[q] * x[row]).sum(axis=1)
+    assert (low <= exact).all() and (exact <= high).all() and len(q) < 5 * 30
+    for k in range(5):
+        s = x @ x[k]
+        s[k] = -np.inf
+        assert set(np.argsort(-s)[:7]) <= set(row[q == k])
+
+
+def test_rows_that_repeat_an_id(spark):
+    rows = spark.createDataFrame([(20, [1.0, 0.0]), (20, [0.5, 0.5]), (3, [2.0, 1.0]), (None, [9.0, 9.0]), (0, None)], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in nearest(rows, F.col("vec_id") % 20 == 0, 5).collect())
+    assert got == [(20, 1, 3, 1.5), (20, 1, 3, 2.0), (20, 2, 20, 0.5), (20, 2, 20, 0.5)]
 
 
 def test_few_and_none(spark):
     rows = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5])], "vec_id long, embedding array<double>")
-    assert [tuple(r) for r in nearest(rows.where("vec_id = 0"), rows, 20).collect()] == [(0, 1, 1, 0.5)]
-    assert nearest(rows.where("false"), rows.where("false"), 20).count() == 0
+    assert [tuple(r) for r in nearest(rows, F.expr("vec_id = 0"), 20).collect()] == [(0, 1, 1, 0.5)]
+    assert nearest(rows.where("false"), F.lit(True), 20).count() == 0
+    assert nearest(rows, F.lit(False), 20).count() == 0

@@ -1,23 +1,20 @@
 """Exact nearest neighbours by largest inner product: a block matrix join over int8 tiles.
 
-Vectors are packed in blocks: the int8 codes of the vectors (each scaled by its own largest component), the
-scales, the error norms and the originals. A task takes a block of queries and a stripe of candidate
-blocks. For each tile it multiplies the codes and bounds the true inner product from both sides,
+Vectors are coded once: int8 codes (each vector scaled by its own largest component), scale and the lengths of what is coded, of the error and of
+the original. A task takes a block of queries and a stripe of candidates. For each tile it multiplies the codes and bounds the true inner product from both sides,
 
     q.c = q^.c^ + q^.ec + eq.c,   |q.c - q^.c^| <= |q^| |ec| + |eq| |c|
 
 (x^ is what the codes stand for, ex = x - x^). A pair can be among the k nearest only if its upper
-bound reaches the k-th best lower bound seen for the query; those that do are computed again from the
-originals in double precision and merged into the query's heap of k. The heaps of the stripes are
-merged at the end. No pair is lost, so recall is 1.
+bound reaches the k-th best lower bound of the query, first within the stripe, then over all stripes; the pairs that do fetch their originals, are
+computed in double precision and ranked. No pair is lost, so recall is 1.
 
-Scale. The work is queries x candidates, as the task asks; the blocks of either side are copied once for every block or
-stripe of the other. Stripes are few (``stripes``), so what is merged is k rows a query and stripe. No side is
-broadcast or collected.
+Scale. The work is queries x candidates, as the task asks; the codes of either side are copied once for every block or
+stripe of the other, the originals once for every surviving pair, little more than k a query. No side is broadcast or collected.
 
-Defined cases: vectors that are null, all zero or hold a null or non-finite component take no part; vectors of
-different lengths are not compared; ties go to the smaller id; a query's own row is left out by its id, so rows that repeat an id are not its
-neighbours; fewer candidates than k give fewer rows; an empty table gives an empty result; extra columns are not read.
+Defined cases: vectors that are null, all zero or hold a null or non-finite component take no part, nor do rows without an id; vectors of
+different lengths are not compared; ties go to the smaller id; a query's own row is left out by its number, so other rows that repeat its id are
+candidates, and each row that repeats a query's id is a query of its own; fewer candidates than k give fewer rows; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -29,8 +26,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-QUERY_BLOCK = 2048
-STRIPE = 65_536  # candidates meant for a stripe
+from .common import checkpointed
+
+QUERY_BLOCK = 1024
+STRIPE = 32_768  # candidates meant for a stripe
 _TILE = 4096
 
 
@@ -53,108 +52,111 @@ def _codes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return codes, scale, np.sqrt((coded**2).sum(axis=1)), np.sqrt(((x - coded) ** 2).sum(axis=1))
 
 
-def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Row-wise inner products, summed from the first component to the last: equal vectors give equal scores."""
-    total = np.zeros(len(q))
-    for j in range(q.shape[1]):
-        total += q[:, j] * c[:, j]
-    return total
-
-
 class Heaps:
-    """The k best candidates of each query: larger score first, then smaller id."""
-
-    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int) -> None:
-        self.ids, self.x, self.k = ids, x, k
-        self.codes, self.scale, self.norm, self.error = _codes(x)
-        self.score = np.full((len(ids), k), -np.inf)
-        self.found = np.full((len(ids), k), np.iinfo(np.int64).max)
-
-    def meet(self, ids: np.ndarray, x: np.ndarray) -> None:
-        """Merge one tile of candidates."""
-        codes, scale, _, error = _codes(x)
-        whole = np.sqrt((x**2).sum(axis=1))
-        exact_in_float = x.shape[1] * 127 * 127 < 1 << 24
-        kind = np.float32 if exact_in_float else np.float64
+    """What may be among the k best candidates of each query of a block, by bounds: (query, row, lower, upper)."""
+
+    def __init__(self, rows: np.ndarray, codes: np.ndarray, scale: np.ndarray, norm: np.ndarray, error: np.ndarray, k: int) -> None:
+        self.rows, self.codes, self.scale, self.norm, self.error, self.k = rows, codes, scale, norm, error, k
+        self.floor = np.full(len(rows), -np.inf)  # the k-th best lower bound met
+        self.best = np.full((len(rows), k), -np.inf)
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def meet(self, rows: np.ndarray, codes: np.ndarray, scale: np.ndarray, error: np.ndarray, whole: np.ndarray) -> None:
+        """One tile of candidates, ``whole`` being the lengths of the originals."""
+        kind = np.float32 if codes.shape[1] * 127 * 127 < 1 << 24 else np.float64
         product = (self.codes.astype(kind) @ codes.astype(kind).T) * self.scale[:, None] * scale[None, :]
         # a hair more for the rounding of the bounds themselves
         spread = (self.norm[:, None] * error[None, :] + self.error[:, None] * whole[None, :]) * (1 + 1e-9) + 1e-12 * (1 + np.abs(product))
-        own = self.ids[:, None] == ids[None, :]
+        own = self.rows[:, None] == rows[None, :]
         low = np.where(own, -np.inf, product - spread)
-        k = min(self.k, len(ids))
-        floor = np.partition(low, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) >= self.k else np.full(len(self.ids), -np.inf)
-        floor = np.maximum(floor, self.score[:, -1])
-        q, c = np.nonzero((product + spread >= floor[:, None]) & ~own)
-        if not len(q):
-            return
-        score = np.empty(len(q))
-        for at in range(0, len(q), 1 << 16):
-            s = slice(at, at + (1 << 16))
-            score[s] = _exact(self.x[q[s]], x[c[s]])
-        rows = np.unique(q)
-        # the heaps touched and the new pairs, ranked together
-        all_q = np.concatenate([q, np.repeat(rows, self.k)])
-        all_s = np.concatenate([score, self.score[rows].ravel()])
-        all_i = np.concatenate([ids[c], self.found[rows].ravel()])
-        order = np.lexsort((all_i, -all_s, all_q))
-        all_q, all_s, all_i = all_q[order], all_s[order], all_i[order]
-        begin = np.searchsorted(all_q, rows)
-        take = begin[:, None] + np.arange(self.k)
-        self.score[rows], self.found[rows] = all_s[take], all_i[take]
-
-
-def nearest(
-    queries: DataFrame, candidates: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", query_block: int = QUERY_BLOCK, stripe: int = STRIPE
-) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's ``k`` nearest candidates, its own row left out."""
-
-    def vectors(df: DataFrame) -> DataFrame:
-        v = F.col(vector_col)
-        return df.where(F.col(id_col).isNotNull() & usable(v)).select(F.col(id_col).cast("long").alias("id"), v.cast("array<double>").alias("v"), F.size(v).alias("dim"))
-
-    own, rest = vectors(queries), vectors(candidates)
-    blocks = max(1, -(-own.count() // query_block))
-    stripes = max(1, min(256, -(-rest.count() // stripe)))
-    # a block or stripe is a hash of the id; the other side is copied to each
-    deal = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n)).cast("int")
-    q = own.withColumn("qb", deal(blocks, 3)).withColumn("st", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))))
-    c = rest.withColumn("st", deal(stripes, 5)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    cells = q.select("qb", "st", "dim", "id", "v", F.lit(0).alias("side")).unionByName(c.select("qb", "st", "dim", "id", "v", F.lit(1).alias("side")))
-    parts = max(blocks * stripes, 1)
-    cells = cells.repartition(parts, "qb", "st").sortWithinPartitions("qb", "st", "dim", "side")
+        k = min(self.k, low.shape[1])
+        self.best = np.partition(np.concatenate([self.best, np.partition(low, low.shape[1] - k, axis=1)[:, -k:]], axis=1), k, axis=1)[:, -self.k :]
+        self.floor = self.best.min(axis=1)
+        q, c = np.nonzero((product + spread >= self.floor[:, None]) & ~own)
+        self.held.append((q, rows[c], low[q, c], (product + spread)[q, c]))
+        self.size += len(q)
+        if self.size > max(1 << 20, 8 * self.best.size):
+            self.held = [self.survivors()]
+            self.size = len(self.held[0][0])
+
+    def survivors(self) -> tuple[np.ndarray, ...]:
+        if not self.held:
+            return (np.empty(0, np.int64),) * 2 + (np.empty(0),) * 2
+        q, row, low, high = (np.concatenate(x) for x in zip(*self.held))
+        on = high >= self.floor[q]
+        return q[on], row[on], low[on], high[on]
+
+
+_CODED = "codes binary, scale double, norm double, error double, whole double"
+
+
+def nearest(rows: DataFrame, query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", query_block: int = QUERY_BLOCK, stripe: int = STRIPE) -> DataFrame:
+    """(query_id, rank, vec_id, score): of each row for which ``query`` holds the ``k`` nearest other rows."""
+    v = F.col(vector_col)
+    whole = rows.where(F.col(id_col).isNotNull() & usable(v)).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), v.cast("array<double>").alias("v"), F.coalesce(query, F.lit(False)).alias("asks"))
+
+    def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for dim, g in b.groupby(b["v"].map(len)):
+                x = np.array(g["v"].tolist(), np.float64)
+                codes, scale, norm, error = _codes(x)
+                yield pd.DataFrame({"row": g["row"], "asks": g["asks"], "dim": dim, "codes": [c.tobytes() for c in codes], "scale": scale, "norm": norm, "error": error, "whole": np.sqrt((x**2).sum(axis=1))})
+
+    # written once, so that the row numbers stay what they are
+    whole = checkpointed(whole)
+    coded = checkpointed(whole.select("row", "v", "asks").mapInPandas(code, f"row long, asks boolean, dim int, {_CODED}"))
+    n = coded.agg(F.sum(F.col("asks").cast("long")), F.count(F.lit(1))).first()
+    blocks, stripes = max(1, -(-(n[0] or 0) // query_block)), max(1, -(-n[1] // stripe))
+    # a block or stripe is a hash of the row; the other side's codes, an eighth of the vectors, are copied to each
+    deal = lambda n, seed: F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(n)).cast("int")
+    few = ["dim", "row", "codes", "scale", "norm", "error", "whole"]
+    q = coded.where("asks").withColumn("qb", deal(blocks, 3)).withColumn("st", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1)))).select("qb", "st", *few, F.lit(0).alias("side"))
+    c = coded.withColumn("st", deal(stripes, 5)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("qb", "st", *few, F.lit(1).alias("side"))
+    cells = q.unionByName(c).repartitionById(blocks * stripes, (F.col("qb") * stripes + F.col("st")).cast("int")).sortWithinPartitions("dim", "side", "row")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Queries of a cell come first, its candidates stream by in tiles."""
-        key, ids, vs, heaps = None, [], [], None
+        key, asked, heaps = None, [], None
 
-        def done(h: Heaps | None) -> pd.DataFrame | None:
-            if h is None:
-                return None
-            real = np.isfinite(h.score) & (h.found != np.iinfo(np.int64).max)
-            r, _ = np.nonzero(real)
-            return pd.DataFrame({"query_id": h.ids[r], "vec_id": h.found[real], "score": h.score[real]})
+        def done() -> pd.DataFrame:
+            q, row, low, high = heaps.survivors()
+            return pd.DataFrame({"q": heaps.rows[q], "c": row, "low": low, "high": high})
 
         for b in batches:
-            for (qb, st, dim, side), g in b.groupby(["qb", "st", "dim", "side"], sort=True):
-                i, x = g["id"].to_numpy(np.int64), np.array(g["v"].tolist(), np.float64)
-                if (qb, st, dim) != key:
-                    if (frame := done(heaps)) is not None:
-                        yield frame
-                    key, ids, vs, heaps = (qb, st, dim), [], [], None
+            for (dim, side), g in b.groupby(["dim", "side"], sort=True):
+                if dim != key:
+                    if heaps is not None:
+                        yield done()
+                    key, asked, heaps = dim, [], None
                 if side == 0:
-                    ids.append(i)
-                    vs.append(x)
+                    asked.append(g)
                     continue
-                if heaps is None and ids:
-                    heaps = Heaps(np.concatenate(ids), np.concatenate(vs), k)
-                for at in range(0, len(i) if heaps else 0, _TILE):
-                    heaps.meet(i[at : at + _TILE], x[at : at + _TILE])
-        if (frame := done(heaps)) is not None:
-            yield frame
-
-    found = cells.mapInPandas(run, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                if heaps is None and asked:
+                    own = pd.concat(asked)
+                    heaps = Heaps(own["row"].to_numpy(), _matrix(own), own["scale"].to_numpy(), own["norm"].to_numpy(), own["error"].to_numpy(), k)
+                for at in range(0, len(g) if heaps else 0, _TILE):
+                    t = g.iloc[at : at + _TILE]
+                    heaps.meet(t["row"].to_numpy(), _matrix(t), t["scale"].to_numpy(), t["error"].to_numpy(), t["whole"].to_numpy())
+        if heaps is not None:
+            yield done()
+
+    found = checkpointed(cells.mapInPandas(run, "q long, c long, low double, high double"))
+    # across the stripes: a pair stays if its upper bound reaches the k-th best lower bound of its query
+    by_low = Window.partitionBy("q").orderBy(F.col("low").desc(), "c")
+    floor = found.withColumn("_n", F.row_number().over(by_low)).where(F.col("_n") == k).select(F.col("q").alias("_q"), F.col("low").alias("_floor"))
+    pairs = found.join(floor, F.col("q") == F.col("_q"), "left").where("_floor is null or high >= _floor").select("q", "c")
+    pairs = pairs.join(whole.where("asks").select(F.col("row").alias("q"), F.col("id").alias("query_id"), F.col("v").alias("qv")), "q")
+    pairs = pairs.join(whole.select(F.col("row").alias("c"), F.col("id").alias("vec_id"), F.col("v").alias("cv")), "c")
+    # summed from the first component to the last: equal vectors give equal scores
+    score = F.aggregate(F.zip_with("qv", "cv", lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+    best = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
+    ranked = pairs.select("q", "query_id", "vec_id", score.alias("score")).withColumn("rank", F.row_number().over(best))
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _matrix(rows: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(rows["codes"]), np.int8).reshape(len(rows), -1)
 
 
 def recall(found: DataFrame, truth: DataFrame) -> float:
