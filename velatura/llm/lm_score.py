@@ -45,8 +45,8 @@ OWN = CLASSES * WIDTH - SHARED - 1
 LISTED = 1 << 16  # words whose counts are broadcast, at most
 HIDDEN = 24
 ROUNDS = 2
-BATCH = 2048  # targets of a step
-SHARD = 1 << 20  # tokens meant for a shard
+BATCH = 6144  # targets of a step, at most
+SHARD = 1 << 21  # tokens meant for a shard
 SHARDS = 1 << 16  # beyond so many, shards grow instead
 PAD = 0
 _PLACES = (-2, -1, 1, 2)
@@ -169,7 +169,7 @@ class Network:
         """Log probabilities of the entries at the places ``at``, and what learning needs."""
         v = self.view
         y = tokens[at].astype(np.int64)
-        order = np.argsort(y // WIDTH, kind="stable")  # the places of a class stand together from here on
+        order = np.argsort((y // WIDTH).astype(np.uint8), kind="stable")  # the places of a class stand together from here on
         at, y = at[order], y[order]
         group, inner = np.divmod(y, WIDTH)
         ends = np.searchsorted(group, np.arange(CLASSES + 1))
@@ -293,8 +293,9 @@ def train(encoded: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Networ
                 shard = int(part["shard"].iloc[0])
                 tokens, places = padded(_entries(part["tokens"]))
                 at = np.random.default_rng(3).permutation(places[turn::rounds])
-                for k in range(0, len(at), BATCH):
-                    own.learn(tokens, at[k : k + BATCH], squares)
+                step = max(256, min(BATCH, len(at) // 64))
+                for k in range(0, len(at), step):
+                    own.learn(tokens, at[k : k + step], squares)
                 seen += len(at)
             if seen:
                 chunks = range(0, len(flat), _CHUNK)
