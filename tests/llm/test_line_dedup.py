@@ -1,3 +1,5 @@
+import time
+
 from pyspark.sql import functions as F
 
 from velatura.llm.line_dedup import boilerplate, line_dedup
@@ -48,3 +50,18 @@ def test_repeated_rows_clashing_columns_and_empty(spark):
     out = line_dedup(docs, F.col("source")).collect()
     assert len(out) == 3 and {r["n_lines"] for r in out} == {1}
     assert line_dedup(table(spark, []), F.col("source")).count() == 0
+
+
+def test_each_row_is_cleaned_by_its_own_text(spark):
+    shared = [(100 + i, "boiler", f"s{i}") for i in range(9)]
+    rows = [(1, "own A\nboiler\nend", "a"), (1, "precious line B\nsecond B\nboiler", "b"), (None, "boiler\nkept", "a"), (None, "kept too\nboiler", "b"), *shared]
+    out = line_dedup(table(spark, rows).withColumn("_gone", F.lit(1)), F.col("source"), min_sites=8)
+    assert sorted((tuple(r) for r in out.select("doc_id", "text", "n_lines", "removed_lines").collect()), key=str) == brute(rows, 8)
+    assert "_gone" in out.columns
+
+
+def test_text_of_very_many_boilerplate_lines(spark):
+    long = "\n".join(f"line {k}" for k in range(100_000))
+    began = time.time()
+    out = line_dedup(table(spark, [(i, long + f"\nown {i}", f"s{i}") for i in range(9)]), F.col("source"), min_sites=8).collect()
+    assert sorted(r["text"] for r in out) == sorted(f"own {i}" for i in range(9)) and time.time() - began < 120

@@ -67,6 +67,21 @@ def small_side(df: DataFrame, rows: int = 50_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def join_hot(left: DataFrame, right: DataFrame, key: str, size: str, n: int, by: Column) -> DataFrame:
+    """``left`` with the columns of ``right``, which has one row for every key of ``left`` and in ``size`` the number of its rows there.
+
+    Keys with more than 1/256 of the ``n`` rows of ``left``, 256 at most, are broadcast; their rows are spread by the hash of ``by``
+    in the join that serves the others, so that no key lands in one task.
+    """
+    rest = [c for c in right.columns if c != key]
+    hot = right.where(F.col(size) * 256 > n).select(F.col(key).alias("_jh_key"), *[F.col(c).alias(f"_jh_{c}") for c in rest])
+    met = left.join(F.broadcast(hot), F.col(key) == F.col("_jh_key"), "left")
+    met = met.withColumn("_jh_salt", F.when(F.col("_jh_key").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(by), F.lit(1 << 20))))
+    cold = right.select(F.col(key).alias("_jc_key"), F.lit(0).cast("long").alias("_jc_salt"), *[F.col(c).alias(f"_jc_{c}") for c in rest])
+    both = met.join(cold, (F.col(key) == F.col("_jc_key")) & (F.col("_jh_salt") == F.col("_jc_salt")), "left")
+    return both.select(*left.columns, *[F.coalesce(f"_jh_{c}", f"_jc_{c}").alias(c) for c in rest])
+
+
 def in_batches(df: DataFrame, rows: int = 512) -> DataFrame:
     """``df``, to be handed to Python in batches of at most ``rows`` rows.
 

@@ -13,7 +13,9 @@ The bitmap takes one bit per block and there is about one block per row, so it i
 the result stays the same. When the number of rows passes 8 rows a block the filter would let nearly all
 rows through, so it is left out and all rows are grouped.
 
-Defined cases: a null text counts as empty; rows that repeat the doc_id as well as the text are copies
+Hot texts. Of a text that a third of all rows share each task sends one partial maximum and count; the result is handed back by ``join_hot``.
+
+Defined cases: a null text counts as empty; very long texts are hashed whole and never sent by ``exact_groups``; rows that repeat the doc_id as well as the text are copies
 like any other (``exact_groups`` marks each of them kept, ``exact_dedup`` returns one of them); a null
 doc_id ranks below any other; an empty table gives an empty result. ``exact_dedup`` returns all input
 columns whatever their names; the working columns have a prefix of their own.
@@ -24,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import join_hot
+
 _BITS = 32768  # bits in one bitmap of bitmap_construct_agg
 
 
@@ -43,13 +47,13 @@ def _repeated_blocks(hashes: DataFrame, n_blocks: int) -> DataFrame:
     )
 
 
-def _marked(rows: DataFrame, text: Column, max_blocks: int) -> DataFrame:
-    """``rows`` with ``_ed_maybe``: false only for rows whose text no other row has."""
+def _marked(rows: DataFrame, text: Column, max_blocks: int) -> tuple[DataFrame, int]:
+    """``rows`` with ``_ed_maybe``: false only for rows whose text no other row has; and their number."""
     n = rows.count()
     n_blocks = 1 << max(10, min(max_blocks, max(1, n)).bit_length())
     n_blocks = min(n_blocks, 1 << (max_blocks.bit_length() - 1))
     if n > 8 * n_blocks:
-        return rows.withColumn("_ed_maybe", F.lit(True))
+        return rows.withColumn("_ed_maybe", F.lit(True)), n
     blocks = _repeated_blocks(rows.select(F.xxhash64(text).alias("_ed_hash")), n_blocks)
     probed = rows.withColumn("_ed_block", _block(F.xxhash64(text), n_blocks) + 1).withColumn("_ed_bucket", F.expr("bitmap_bucket_number(_ed_block)"))
     # at most n_blocks / 32768 bitmaps of 4 KB: 32 MB under the default bound
@@ -57,28 +61,29 @@ def _marked(rows: DataFrame, text: Column, max_blocks: int) -> DataFrame:
     byte = F.expr("cast(conv(hex(substring(_ed_bits, cast(bitmap_bit_position(_ed_block) div 8 as int) + 1, 1)), 16, 10) as int)")
     bit = F.expr("cast(bitmap_bit_position(_ed_block) % 8 as int)")
     hit = F.col("_ed_bits").isNotNull() & (F.coalesce(byte, F.lit(0)).bitwiseAND(F.call_function("shiftleft", F.lit(1), bit)) != 0)
-    return probed.withColumn("_ed_maybe", hit).drop("_ed_bucket", "_ed_block", "_ed_bits")
+    return probed.withColumn("_ed_maybe", hit).drop("_ed_bucket", "_ed_block", "_ed_bits"), n
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_blocks: int = 1 << 28) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256), one row per input row."""
     text = F.coalesce(F.col("_ed_text"), F.lit(""))
-    rows = _marked(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_ed_text")), text, max_blocks)
+    rows, n = _marked(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_ed_text")), text, max_blocks)
     rows = rows.select("doc_id", "_ed_maybe", F.sha2(text.cast("binary"), 256).alias("text_sha256"))
     alone = rows.where(~F.col("_ed_maybe")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     maybe = rows.where("_ed_maybe").select("doc_id", "text_sha256")
     groups = maybe.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    joined = maybe.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    joined = join_hot(maybe, groups, "text_sha256", "group_size", n, F.col("doc_id")).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     return alone.unionByName(joined)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_blocks: int = 1 << 28) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns: of equal texts the one with the largest id."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = _marked(docs, text, max_blocks)
+    rows, _ = _marked(docs, text, max_blocks)
     alone = rows.where(~F.col("_ed_maybe")).select(*docs.columns)
     maybe = rows.where("_ed_maybe").withColumn("_ed_sha", F.sha2(text.cast("binary"), 256))
     groups = maybe.groupBy("_ed_sha").agg(F.max(id_col).alias("_ed_keep"))
+    # joined by text and id, so a text that a third of all rows share is spread
     best = maybe.join(groups.withColumnRenamed("_ed_sha", "_ed_key"), (F.col("_ed_sha") == F.col("_ed_key")) & F.col(id_col).eqNullSafe(F.col("_ed_keep")))
     # only rows that share doc_id and text are still more than one
     return alone.unionByName(best.dropDuplicates(["_ed_sha"]).select(*docs.columns))

@@ -18,7 +18,8 @@ combine by host and path, and a join back of one row per path, so a hot host is
 
 Defined cases: null and empty texts are scored by their statistics (all 0); a null site is a site of its own; labels that are null
 are ignored, of repeated labels of a document the largest counts; without labels of both kinds the evidence is 0 and the
-global share is 1, so all documents are kept; rows that repeat an id are scored each; extra columns are kept by ``quality_filter``.
+global share is 1, so all documents are kept; rows that repeat an id are scored each, and each is a training row; very long texts are read whole; a score of
+just ``keep_at`` is kept; an empty table gives an empty result; extra columns are kept by ``quality_filter`` whatever their names.
 """
 
 from __future__ import annotations
@@ -92,7 +93,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column | None = None, id_col:
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "y": b[label], "x": [features(t) for t in b["text"]]})
 
-    rows = in_batches(texts).mapInPandas(run, "doc_id long, y int, x array<double>").orderBy("doc_id").collect()  # ``bound`` rows of numbers
+    rows = in_batches(texts).mapInPandas(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, y int, x array<double>").orderBy("doc_id").collect()  # ``bound`` rows of numbers
     y = np.array([r["y"] for r in rows], np.float64)
     if len(set(y.tolist())) < 2:
         return Classifier(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES + 1), 0.5)
@@ -138,7 +139,7 @@ def _judged(docs: DataFrame, classifier: Classifier, host: Column, path: Column,
 
 
 def site_posteriors(judged: DataFrame, base: float) -> DataFrame:
-    """(_h, _p, host_posterior, path_posterior), one row per path, from (_q_host, _q_path, _q_evidence)."""
+    """(_q_h, _q_p, _q_above, _q_prior): posteriors of host and path, one row per path, from (_q_host, _q_path, _q_evidence)."""
     p = 1 / (1 + F.exp(-(F.col("_q_evidence") + base)))
     paths = judged.groupBy(F.col("_q_host").alias("host"), F.col("_q_path").alias("path")).agg(F.count(F.lit(1)).alias("n"), F.sum(p).alias("s"), F.sum(p * p).alias("q"))
     paths = checkpointed(paths)
@@ -146,15 +147,15 @@ def site_posteriors(judged: DataFrame, base: float) -> DataFrame:
     total = hosts.agg(F.sum("n"), F.sum("s")).first()
     share = total[1] / total[0] if total[0] else 1.0
     a = _strength(hosts, F.lit(share))
-    above = hosts.select(F.col("host").alias("_h"), ((F.col("s") + a * share) / (F.col("n") + a)).alias("host_posterior"))
-    paths = paths.join(above, F.col("host").eqNullSafe(F.col("_h")))
-    b = _strength(paths, F.col("host_posterior"))
-    return checkpointed(paths.select("_h", F.col("path").alias("_p"), "host_posterior", ((F.col("s") + b * F.col("host_posterior")) / (F.col("n") + b)).alias("path_posterior")))
+    above = hosts.select(F.col("host").alias("_q_h"), ((F.col("s") + a * share) / (F.col("n") + a)).alias("_q_above"))
+    paths = paths.join(above, F.col("host").eqNullSafe(F.col("_q_h")))
+    b = _strength(paths, F.col("_q_above"))
+    return checkpointed(paths.select("_q_h", F.col("path").alias("_q_p"), "_q_above", ((F.col("s") + b * F.col("_q_above")) / (F.col("n") + b)).alias("_q_prior")))
 
 
 def _with_score(judged: DataFrame, sites: DataFrame) -> DataFrame:
-    joined = judged.join(small_side(sites), F.col("_q_host").eqNullSafe(F.col("_h")) & F.col("_q_path").eqNullSafe(F.col("_p")), "left")
-    prior = F.least(F.lit(1 - 1e-6), F.greatest(F.lit(1e-6), F.col("path_posterior")))
+    joined = judged.join(small_side(sites), F.col("_q_host").eqNullSafe(F.col("_q_h")) & F.col("_q_path").eqNullSafe(F.col("_q_p")), "left")
+    prior = F.least(F.lit(1 - 1e-6), F.greatest(F.lit(1e-6), F.col("_q_prior")))
     return joined.withColumn("_q_score", 1 / (1 + F.exp(-(F.col("_q_evidence") + F.log(prior / (1 - prior))))))
 
 
@@ -165,7 +166,7 @@ def posteriors(docs: DataFrame, classifier: Classifier, host: Column, path: Colu
     out = _with_score(judged, site_posteriors(judged, _logit(classifier.share)))
     return out.select(
         F.col(id_col).alias("doc_id"), F.col("_q_host").alias("host"), F.col("_q_path").alias("path"), F.col("_q_evidence").alias("evidence"),
-        "host_posterior", "path_posterior", F.col("_q_score").alias("score"), (F.col("_q_score") >= keep_at).alias("kept"),
+        F.col("_q_above").alias("host_posterior"), F.col("_q_prior").alias("path_posterior"), F.col("_q_score").alias("score"), (F.col("_q_score") >= keep_at).alias("kept"),
     )
 
 
@@ -175,6 +176,8 @@ def quality_filter(docs: DataFrame, labels: DataFrame, host: Column, path: Colum
     The texts are read once for the sites' posteriors and once more to be passed on, so that they are not written in between.
     """
     classifier = fit(docs, labels, None, id_col, text_col)
-    judged = _judged(docs, classifier, host, path, text_col)
+    names = [f"_qf_{k}" for k in range(len(docs.columns))]  # whatever the columns are called
+    sited = docs.withColumns({"_q_site_host": host.cast("string"), "_q_site_path": path.cast("string")}).toDF(*names, "_qf_host", "_qf_path")
+    judged = _judged(sited, classifier, F.col("_qf_host"), F.col("_qf_path"), names[docs.columns.index(text_col)])
     sites = site_posteriors(judged.select("_q_host", "_q_path", "_q_evidence"), _logit(classifier.share))
-    return _with_score(judged, sites).where(F.col("_q_score") >= keep_at).select(*docs.columns)
+    return _with_score(judged, sites).where(F.col("_q_score") >= keep_at).select(*names).toDF(*docs.columns)

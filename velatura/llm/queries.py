@@ -74,8 +74,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings")
-    return neighbours.nearest(rows.where("vec_id % 20 = 0"), rows, 20)
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
 QUERIES = {
@@ -99,13 +98,13 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(d.t) AS tex
 """
 ORACLE["op10_neighbours"] = """
 WITH v AS (
-  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  SELECT row_number() OVER () AS row, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 p AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
-FROM p QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+  SELECT q.row, q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.row <> c.row AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM p QUALIFY row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) <= 20
 """
 
 # Targets by filling up the sources in the order of cap / weight; golden-ratio points through the cumulative quotas give each slot its
@@ -148,13 +147,14 @@ FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN p ON d.row = p
 """
 
 ORACLE["op6_line_dedup"] = r"""
-WITH l AS (
-  SELECT doc_id, coalesce(source, '\x01') AS source, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(1, len(string_split(text, chr(10))))) AS pos FROM documents WHERE text IS NOT NULL),
+WITH d AS (SELECT row_number() OVER () AS row, * FROM documents),
+l AS (
+  SELECT row, coalesce(source, '\x01') AS source, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(1, len(string_split(text, chr(10))))) AS pos FROM d WHERE text IS NOT NULL),
 k AS (SELECT *, trim(line, chr(9) || chr(13) || ' ') AS cut FROM l),
 b AS (SELECT cut FROM k WHERE cut <> '' GROUP BY cut HAVING count(DISTINCT source) >= 8),
 c AS (
-  SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE b.cut IS NULL) AS text, count(*) AS n_lines, count(b.cut) AS removed_lines
-  FROM k LEFT JOIN b ON k.cut = b.cut GROUP BY doc_id)
+  SELECT row, string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE b.cut IS NULL) AS text, count(*) AS n_lines, count(b.cut) AS removed_lines
+  FROM k LEFT JOIN b ON k.cut = b.cut GROUP BY row)
 SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(removed_lines, 0) AS INTEGER) AS removed_lines,
-  CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(c.text, '') END AS text FROM documents d LEFT JOIN c ON d.doc_id = c.doc_id
+  CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(c.text, '') END AS text FROM d LEFT JOIN c ON d.row = c.row
 """
