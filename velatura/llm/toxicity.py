@@ -101,7 +101,7 @@ class Index:
         self.term = np.concatenate([at[i][k] for i, k in zip(order, sort)]) if order else term
         self.number = np.concatenate([number[i][k] for i, k in zip(order, sort)]) if order else np.empty(0, np.int32)
         self.slope, self.shift = 1.0, 0.0
-        self._invert()
+        self._dense = None  # the inverted index is made where it is first searched, not on the driver
 
     def _invert(self) -> None:
         """The weights and the inverted index, from the vectors' terms and numbers."""
@@ -126,7 +126,7 @@ class Index:
     def __setstate__(self, state: bytes) -> None:
         self.__dict__.update(pickle.loads(zlib.decompress(state)))
         self.vocabulary = {t: i for i, t in enumerate(self.vocabulary.split())}
-        self._invert()
+        self._dense = None
 
     def unit(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
         w = (1 + np.log(n)) * self.idf[at]
@@ -151,6 +151,8 @@ class Index:
         at, q = vector
         if not len(at):
             return []
+        if self._dense is None:
+            self._invert()
         lengths = np.sqrt(np.append(np.cumsum((q * q)[::-1])[::-1], 0.0))  # of the terms from each place on
         heavy = int(np.argmax(lengths <= LIGHT))
         score, place, floor = self._ranked(at[:heavy], q[:heavy], lengths[heavy], k, leave)
