@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from velatura.functions import taxonomy as tax
@@ -268,6 +269,11 @@ def test_report():
     m = {"tp": 1200, "tn": 1, "fp": 2, "fn": 0, "precision": 0.5, "recall": 1.0, "f1": 2 / 3, "accuracy": 0.75}
     text = report.render(m, m, Missed())
     assert text.startswith("# Relatório") and text.endswith("_None_\n") and "| contém PII | 1.200 | 0 |" in text and "0.6667 (66.67%)" in text
-    assert report.table(["a|b"], [["x\ny"]], ["center"]) == "| a\\|b |\n| :---: |\n| x y |\n"
-    with pytest.raises(ValueError):
-        report.table(["a"], [], ["left", "left"])
+    assert report.grid({"a|b": report.RIGHT}, [("x\ny",)]) == "| a\\|b |\n| ---: |\n| x y |\n"
+    made = Row(row_id=4, excerpt=" <b> ", entities=[Row(type="CONTATO", value="a@b")], pii_bucket="fn", entity_bucket="tp", gold_should_be_public=False, pred_should_be_public=True, pii_token_error=True, entity_token_error=False)
+    block = report.sample(made)
+    assert block.startswith("<details>\n<summary>linha=5 | doc (PII)=falso negativo |") and "— &lt;b&gt;</summary>\n\n- **linha" in block
+    assert "`False`\n\n**trecho (excerpt)**:\n\n> <b>\n\n**entidades (entities)**:\n\n```json\n[\n" in block and block.endswith("```\n\n</details>\n")
+    bare = report.sample(Row(**(made.asDict() | {"excerpt": "", "entities": []})))
+    assert bare.endswith("erro em tokens (qualquer entidade)**: `False`\n\n</details>\n")
+    assert [x.split("\n")[0] for x in report.samples("T", iter([made] * 3), 3, 2)] == ["## T (n=3)", "_Showing first 2 of 3 samples._", "<details>", "<details>"]

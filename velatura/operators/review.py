@@ -44,7 +44,7 @@ def kept_by_review(rows: DataFrame, review: DataFrame) -> DataFrame:
     """Mentions whose (type, value) the review holds, and all of types that it does not know; repeats stay."""
     known = review.select("type").distinct()
     held = rows.join(review.select("type", "value").distinct(), ["type", "value"], "left_semi")
-    return held.unionByName(rows.join(F.broadcast(known), "type", "left_anti").select(*held.columns))
+    return held.unionByName(rows.join(known, "type", "left_anti").select(*held.columns))
 
 
 def missing_labels(rows: DataFrame, review: DataFrame) -> DataFrame:
@@ -83,7 +83,7 @@ def contained_values(docs: DataFrame, values: list[str], id_col: str = "row_id",
 def added_by_review(docs: DataFrame, kept: DataFrame, review: DataFrame, id_col: str = "row_id") -> DataFrame:
     """(row_id, type, value, label_ord, value_ord): the review's values that a text holds and the kept mentions lack, in the review's order."""
     listed = [r[0] for r in review.select("value").distinct().collect()]  # a review dictionary
-    found = contained_values(docs, listed, id_col).join(F.broadcast(review.select("type", "value", "label_ord", "value_ord")), "value")
+    found = contained_values(docs, listed, id_col).join(review.select("type", "value", "label_ord", "value_ord"), "value")
     return found.join(kept.select("row_id", "type", "value").distinct(), ["row_id", "type", "value"], "left_anti").select("row_id", "type", "value", "label_ord", "value_ord")
 
 
