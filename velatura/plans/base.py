@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import taxonomy as tax
@@ -105,28 +105,34 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text").unionByName(mine)
 
 
-# --- entities: the first words of each document, overlapping on purpose, its first mail address and its first long number -------
+# --- entities: the first words of each document, overlapping on purpose, and all of its mail addresses and long numbers -------
 
 _TWO = rf"^({NWS}+{WS}+{NWS}+)"
 _THREE = rf"^({NWS}+{WS}+{NWS}+{WS}+{NWS}+)"
 _NEXT = rf"^(?:{NWS}+{WS}+){{2}}({NWS}+{WS}+{NWS}+{WS}+{NWS}+)"
 _ENTITIES = (
-    ("NOME_PESSOA", _TWO, 1), ("ENDERECO", _THREE, 1), ("QUASI_IDENTIFICADOR", _NEXT, 1), ("CONTATO", emit.RULES[0][1], 0), ("DADO_FINANCEIRO", emit.RULES[3][1], 0),
+    ("NOME_PESSOA", _TWO, 1), ("ENDERECO", _THREE, 1), ("QUASI_IDENTIFICADOR", _NEXT, 1),
 )
+_EVERY = (("CONTATO", emit.RULES[0][1]), ("DADO_FINANCEIRO", emit.RULES[3][1]))
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(row_id, text, entities) of all documents and the fixture."""
     text = F.coalesce("text", F.lit(""))
     listed = F.array(*[F.struct(F.lit(k).alias("type"), F.regexp_extract(text, form, g).alias("value")) for k, form, g in _ENTITIES])
-    own = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text", F.filter(listed, lambda e: e["value"] != "").alias("entities"))
+
+    def every(kind: str, form: str) -> Column:
+        return F.transform(F.regexp_extract_all(text, F.lit(form), F.lit(0)), lambda v: F.struct(F.lit(kind).alias("type"), v.alias("value")))
+
+    own = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text", F.filter(F.concat(listed, *(every(*e) for e in _EVERY)), lambda e: e["value"] != "").alias("entities"))
     mine = annotated(spark).withColumn("row_id", -F.col("row_id"))
     return own.unionByName(mine)
 
 
 ENTITIES_SQL = f"""{FIXTURE_SQL},
 ents AS (
-  SELECT doc_id AS row_id, text, list_filter([{", ".join(f"{{'type': '{k}', 'value': regexp_extract(coalesce(text, ''), '{form}', {g})}}" for k, form, g in _ENTITIES)}], lambda e: e.value <> '') AS entities
+  SELECT doc_id AS row_id, text, list_filter([{", ".join(f"{{'type': '{k}', 'value': regexp_extract(coalesce(text, ''), '{form}', {g})}}" for k, form, g in _ENTITIES)}]
+    || {" || ".join(f"list_transform(regexp_extract_all(coalesce(text, ''), '{form}'), lambda v: {{'type': '{k}', 'value': v}})" for k, form in _EVERY)}, lambda e: e.value <> '') AS entities
   FROM documents UNION ALL SELECT -row_id, text, entities FROM annotated)"""
 
 
@@ -156,7 +162,7 @@ def tokens_sql(source: str = "docs", key: str = "doc_id") -> str:
     return f"""
 parts AS (SELECT {key}, regexp_extract_all(text, '{TOKEN}') AS f, string_split_regex(text, '{TOKEN}') AS g FROM {source} WHERE text IS NOT NULL),
 zipped AS (SELECT {key}, unnest(list_zip(f, g[1:len(f)], range(0, len(f)))) AS z FROM parts),
-tok AS (
+tok AS MATERIALIZED (
   SELECT {key}, CAST(z[3] AS INTEGER) AS tok_idx, z[1] AS tok,
     CAST(sum(length(z[2]) + length(z[1])) OVER w - length(z[1]) AS INTEGER) AS start, CAST(sum(length(z[2]) + length(z[1])) OVER w AS INTEGER) AS "end"
   FROM zipped WINDOW w AS (PARTITION BY {key} ORDER BY z[3] ROWS UNBOUNDED PRECEDING))"""
@@ -195,16 +201,19 @@ def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- logits: 27 numbers of each vector, in sequences by label ------------------------------------------
+# --- logits: each vector folded to 27 numbers, in sequences of 128 by vec_id ----------------------------
 
 LOGITS_SQL = """seq AS (
-  SELECT label AS seq_id, CAST(row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS INTEGER) AS tok_idx, embedding[1:27] AS logits FROM embeddings),
+  SELECT vec_id // 128 AS seq_id, CAST(row_number() OVER (PARTITION BY vec_id // 128 ORDER BY vec_id) - 1 AS INTEGER) AS tok_idx,
+    list_transform(range(1, 28), lambda k: CAST(CAST(embedding[k] AS DOUBLE) + embedding[k + 27] + coalesce(embedding[k + 54], 0) AS FLOAT)) AS logits FROM embeddings),
 lg AS (SELECT seq_id, tok_idx, tok_idx * 5 AS start, tok_idx * 5 + 4 AS "end", logits FROM seq)"""
 
 
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
-    rows = table(spark, sf_dir, "embeddings").select(F.col("label").alias("seq_id"), "vec_id", F.slice("embedding", 1, len(tax.LABELS)).alias("logits"))
+    n, e = len(tax.LABELS), F.col("embedding").cast("array<double>")
+    folded = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: (F.get(e, k) + F.get(e, k + n) + F.coalesce(F.get(e, k + 2 * n), F.lit(0.0))).cast("float"))
+    rows = table(spark, sf_dir, "embeddings").select(F.expr("vec_id div 128").alias("seq_id"), "vec_id", folded.alias("logits"))
     rows = rows.withColumn("tok_idx", F.row_number().over(Window.partitionBy("seq_id").orderBy("vec_id")) - 1)
     return rows.select("seq_id", "tok_idx", (F.col("tok_idx") * 5).alias("start"), (F.col("tok_idx") * 5 + 4).alias("end"), "logits")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -73,13 +74,24 @@ def literal_occurrences(spark: SparkSession, d: str) -> DataFrame:
     return _dictionary(spark, d).select("doc_id", "value", F.explode(tx.occurrences(F.col("text"), F.col("value"))).alias("start"))
 
 
-@query(f"""WITH {DOCS_SQL}, {_DICT_SQL}
-SELECT doc_id, value, CAST(i AS INTEGER) AS start FROM (
-  SELECT doc_id, value, text, unnest(range(0, length(text) - length(value) + 1)) AS i FROM docs, dict WHERE contains(text, value) AND value IN ('aa', 'an an', '(', 'João Silva'))
-WHERE substring(text, i + 1, length(value)) = value""")
+# what can overlap itself begins as it ends, and is compared with the characters from every place on; the others occur as in literal_occurrences
+_OVERLAP = [v for v in _DICTIONARY if any(v[:k] == v[-k:] for k in range(1, len(v)))]
+
+
+def _every_place(v: str) -> str:
+    runs = ", ".join(f"c[{k}:]" for k in range(1, len(v) + 1))
+    same = " AND ".join(f"z[{k}] = {text_literal(c)}" for k, c in enumerate(v, 1))
+    return f"SELECT doc_id, {text_literal(v)} AS value, CAST(z[{len(v) + 1}] AS INTEGER) AS start FROM (SELECT doc_id, unnest(list_zip({runs}, range(0, len(c)))) AS z FROM chars WHERE contains(text, {text_literal(v)})) WHERE {same}"
+
+
+@query(f"""WITH {DOCS_SQL}, {_DICT_SQL},
+cut AS (SELECT doc_id, value, string_split(text, value) AS g FROM docs, dict WHERE contains(text, value) AND value NOT IN ({", ".join(map(text_literal, _OVERLAP))})),
+gaps AS (SELECT doc_id, value, unnest(list_zip(g[1:len(g) - 1], range(0, len(g) - 1))) AS z FROM cut),
+chars AS (SELECT doc_id, text, string_split(text, '') AS c FROM docs WHERE text <> '')
+SELECT doc_id, value, CAST(sum(length(z[1]) + length(value)) OVER (PARTITION BY doc_id, value ORDER BY z[2] ROWS UNBOUNDED PRECEDING) - length(value) AS INTEGER) AS start FROM gaps
+UNION ALL {" UNION ALL ".join(map(_every_place, _OVERLAP))}""")
 def literal_occurrences_overlap(spark: SparkSession, d: str) -> DataFrame:
-    rows = _dictionary(spark, d).where(F.col("value").isin("aa", "an an", "(", "João Silva"))
-    return rows.select("doc_id", "value", F.explode(tx.occurrences_overlapping(F.col("text"), F.col("value"))).alias("start"))
+    return _dictionary(spark, d).select("doc_id", "value", F.explode(tx.occurrences_overlapping(F.col("text"), F.col("value"))).alias("start"))
 
 
 # --- the review of values ----------------------------------------------------------------------------
@@ -88,7 +100,7 @@ _MENTIONS_SQL = ENTITIES_SQL + """,
 men AS (SELECT row_id, text, unnest(list_zip(entities, range(0, len(entities)))) AS z FROM ents),
 mention AS (SELECT row_id, text, CAST(z[2] AS INTEGER) AS ent_idx, z[1].type AS type, z[1].value AS value FROM men)"""
 _EXTRACT_SQL = """,
-first AS (SELECT type, value, min(row_id * 1000 + ent_idx) AS first_at FROM m GROUP BY type, value),
+first AS (SELECT type, value, min(row_id * 1000000 + ent_idx) AS first_at FROM m GROUP BY type, value),
 lab AS (SELECT type, CAST(row_number() OVER (ORDER BY min(first_at)) - 1 AS INTEGER) AS label_ord FROM first GROUP BY type)
 SELECT type, value, label_ord, CAST(row_number() OVER (PARTITION BY type ORDER BY first_at) - 1 AS INTEGER) AS value_ord FROM first JOIN lab USING (type)"""
 
@@ -236,7 +248,7 @@ lim AS (SELECT *, k * {_STEP} AS start_tok, least(k * {_STEP} + {_BUDGET}, n) AS
 win AS (SELECT *, greatest(start_tok + 1, least(lim, start_tok + {_STEP})) AS hard_min FROM lim)"""
 _WORDLY = r"^[\p{L}\p{N}''’_-]"
 _PICK_SQL = _GRID_SQL + f""",
-flg AS (
+flg AS MATERIALIZED (
   SELECT doc_id, tok_idx, start, "end", NOT (coalesce(lead(start) OVER w = "end", false) AND regexp_matches(tok, '{_WORDLY}') AND coalesce(regexp_matches(lead(tok) OVER w, '{_WORDLY}'), false)) AS edge,
     tok IN ('.', '!', '?') AS stop, coalesce(lag("end") OVER w = start AND regexp_matches(lag(tok) OVER w, '{_WORDLY}'), false) AS glued
   FROM tok WINDOW w AS (PARTITION BY doc_id ORDER BY tok_idx)),
@@ -248,9 +260,9 @@ pts AS (
 best AS (SELECT doc_id, k, arg_max(d, points * 1000 - d) AS d FROM pts WHERE points >= 0 GROUP BY doc_id, k),
 picked AS (SELECT win.*, CAST(win.lim - coalesce(best.d, 0) AS INTEGER) AS picked FROM win LEFT JOIN best ON win.doc_id = best.doc_id AND win.k = best.k)"""
 _CHUNK_SQL = _PICK_SQL + f""",
-back AS (
+back AS MATERIALIZED (
   SELECT p.doc_id, p.k, max(f.tok_idx + 1) AS e FROM picked p JOIN flg f ON f.doc_id = p.doc_id AND f.tok_idx + 1 > p.hard_min AND f.tok_idx + 1 <= p.picked AND f.edge GROUP BY p.doc_id, p.k),
-cut AS (
+cut AS MATERIALIZED (
   SELECT p.*, CASE WHEN p.picked <= p.hard_min THEN p.picked ELSE coalesce(back.e, p.hard_min) END AS cut, coalesce(o.origin, 0) AS from_tok
   FROM picked p LEFT JOIN back ON p.doc_id = back.doc_id AND p.k = back.k LEFT JOIN org o ON o.doc_id = p.doc_id AND o.tok_idx = p.start_tok),
 fit AS (
@@ -309,11 +321,16 @@ def chunk_coverage(spark: SparkSession, d: str) -> DataFrame:
     return spans.coverage(found, _windows(spark, d), DOC)
 
 
-@query(f"""WITH {DOCS_SQL}, p AS (SELECT doc_id, text, unnest(range(0, 40)) AS place FROM docs WHERE text IS NOT NULL)
-SELECT doc_id, CAST(place AS INTEGER) AS place, place <= 0 OR place >= length(text) OR NOT (regexp_matches(substring(text, place, 1), '{_WORDLY}') AND regexp_matches(substring(text, place + 1, 1), '{_WORDLY}')) AS boundary FROM p""")
+@query(f"""WITH {DOCS_SQL}, c AS (SELECT doc_id, CASE WHEN text = '' THEN [] ELSE string_split(text, '') END AS c FROM docs WHERE text IS NOT NULL),
+p AS (SELECT doc_id, unnest(list_zip(list_concat([NULL::VARCHAR], c), list_concat(c, [NULL::VARCHAR]), range(0, len(c) + 1))) AS z FROM c)
+SELECT doc_id, CAST(z[3] AS INTEGER) AS place FROM p WHERE NOT coalesce(regexp_matches(z[1], '{_WORDLY}') AND regexp_matches(z[2], '{_WORDLY}'), false)""")
 def word_boundaries(spark: SparkSession, d: str) -> DataFrame:
-    rows = docs(spark, d).where("text is not null").select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.lit(39))).alias("place"))
-    return rows.select("doc_id", "place", tx.is_word_boundary(F.col("text"), F.col("place")).alias("boundary"))
+    """All boundaries of whole texts, the characters on either side being looked at once."""
+    c = F.when(F.col("text") == "", F.array().cast("array<string>")).otherwise(F.split("text", ""))
+    rows = docs(spark, d).where("text is not null").select("doc_id", c.alias("c"))
+    two = lambda i: tx.is_word_boundary(F.concat(F.get("c", i - 1), F.get("c", i)), F.lit(1))
+    places = F.filter(F.sequence(F.lit(0), F.size("c")), lambda i: (i == 0) | (i == F.size("c")) | two(i))
+    return rows.select("doc_id", F.explode(places).alias("place"))
 
 
 # --- from labels to spans ----------------------------------------------------------------------------
@@ -359,15 +376,15 @@ def merge_scored(spark: SparkSession, d: str) -> DataFrame:
     return spans.merge_spans(spans.bio_spans_scored(marked(spark, d), DOC), DOC, scored=True).withColumn("confidence", F.round("confidence", 6))
 
 
-# spans of made-up confidence on a grid, so that types overlap: of tokens taken three at a time
+# spans of made-up confidence on a grid, so that types overlap: one from every token
 _CROSS_SQL = MARKED_SQL + f""",
 cross_spans AS (
   SELECT doc_id, start, start + 3 + ((tok_idx * 11) % 17) AS "end", ({LABELS_SQL})[(tok_idx * 5) % 13 * 2 + 2][3:] AS type, ((tok_idx * 37) % 19) / 20.0::DOUBLE AS confidence, 1 + (tok_idx // 3) % 3 AS n_tokens
-  FROM marked WHERE "end" > 0 AND tok_idx % 3 = 0)"""
+  FROM marked WHERE "end" > 0)"""
 
 
 def _cross(spark: SparkSession, d: str) -> DataFrame:
-    rows = marked(spark, d).where("`end` > 0 and tok_idx % 3 = 0")
+    rows = marked(spark, d).where("`end` > 0")
     kinds = F.get(F.array(*map(F.lit, tax.TYPES)), F.expr("cast((tok_idx * 5) % 13 as int)"))
     return rows.select(
         "doc_id", "start", F.expr("start + 3 + ((tok_idx * 11) % 17)").alias("end"), kinds.alias("type"), (F.expr("(tok_idx * 37) % 19") / F.lit(20.0)).alias("confidence"), F.expr("cast(1 + (tok_idx div 3) % 3 as int)").alias("n_tokens")
@@ -405,7 +422,7 @@ def filter_spans_by_type(spark: SparkSession, d: str) -> DataFrame:
 SELECT a.row_id, a.start AS start_a, a."end" AS end_a, a.type AS type_a, b.start AS start_b, b."end" AS end_b, b.type AS type_b FROM sp a JOIN sp b
 ON a.row_id = b.row_id AND a.start < b."end" AND b.start < a."end" AND a.type <> b.type AND (a.start, a."end", a.type) < (b.start, b."end", b.type)""".replace("{SPANS}", """
 pair AS (SELECT row_id, text, unnest(entities) AS e FROM ents),
-cut AS (SELECT row_id, e.type AS type, e.value AS value, string_split(text, e.value) AS g FROM pair WHERE contains(text, e.value)),
+cut AS (SELECT DISTINCT row_id, e.type AS type, e.value AS value, string_split(text, e.value) AS g FROM pair WHERE contains(text, e.value)),
 gap AS (SELECT row_id, type, value, unnest(list_zip(g[1:len(g) - 1], range(0, len(g) - 1))) AS z FROM cut),
 place AS (SELECT row_id, type, value, CAST(sum(length(z[1]) + length(value)) OVER (PARTITION BY row_id, type, value ORDER BY z[2] ROWS UNBOUNDED PRECEDING) AS INTEGER) AS "end" FROM gap),
 sp AS (SELECT DISTINCT row_id, CAST("end" - length(value) AS INTEGER) AS start, "end", type FROM place)"""))
@@ -423,12 +440,12 @@ g3 AS (SELECT row_id, text, {rules_sql.migrated('type', 'value', 'text')} AS typ
 cut AS (SELECT DISTINCT row_id, type, value, string_split(text, value) AS g FROM g3 WHERE contains(text, value)),
 gap AS (SELECT row_id, type, value, unnest(list_zip(g[1:len(g) - 1], range(0, len(g) - 1))) AS z FROM cut),
 place AS (SELECT row_id, type, value, CAST(sum(length(z[1]) + length(value)) OVER (PARTITION BY row_id, type, value ORDER BY z[2] ROWS UNBOUNDED PRECEDING) AS INTEGER) AS "end" FROM gap),
-cand AS (SELECT DISTINCT row_id, CAST("end" - length(value) AS INTEGER) AS start, "end", type FROM place),
+cand AS MATERIALIZED (SELECT DISTINCT row_id, CAST("end" - length(value) AS INTEGER) AS start, "end", type FROM place),
 lists AS (SELECT row_id, list([{{'s': start, 'e': "end", 't': type}}] ORDER BY start - "end", start, "end", type) AS l FROM cand GROUP BY row_id),
 folded AS (
   SELECT row_id, list_reduce(l, lambda acc, x: CASE WHEN len(list_filter(acc, lambda k: x[1].s < k.e AND x[1].e > k.s)) > 0 THEN acc ELSE list_concat(acc, x) END) AS k FROM lists),
 flat AS (SELECT row_id, unnest(k) AS s FROM folded),
-gold AS (SELECT row_id, s.s AS start, s.e AS "end", s.t AS type FROM flat)"""
+gold AS MATERIALIZED (SELECT row_id, s.s AS start, s.e AS "end", s.t AS type FROM flat)"""
 _ROW_TOKENS = tokens_sql("ents", "row_id")
 _TOUCH = """,
 touch AS (SELECT g.row_id, g.start, g."end", g.type, t.tok_idx FROM {0} g JOIN tok t ON g.row_id = t.row_id AND t.start < g."end" AND t."end" > g.start)"""
@@ -461,7 +478,7 @@ pair AS (SELECT row_id, text, unnest(entities) AS e FROM ents),
 cut AS (SELECT DISTINCT row_id, e.type AS type, e.value AS value, string_split(text, e.value) AS g FROM pair WHERE contains(text, e.value)),
 gap AS (SELECT row_id, type, value, unnest(list_zip(g[1:len(g) - 1], range(0, len(g) - 1))) AS z FROM cut),
 place AS (SELECT row_id, type, value, CAST(sum(length(z[1]) + length(value)) OVER (PARTITION BY row_id, type, value ORDER BY z[2] ROWS UNBOUNDED PRECEDING) AS INTEGER) AS "end" FROM gap),
-cand AS (SELECT DISTINCT row_id, CAST("end" - length(value) AS INTEGER) AS start, "end", type FROM place)"""
+cand AS MATERIALIZED (SELECT DISTINCT row_id, CAST("end" - length(value) AS INTEGER) AS start, "end", type FROM place)"""
 
 
 @query(f"WITH {_TRAIN_SQL} SELECT row_id, start, \"end\", type FROM cand")
@@ -726,37 +743,46 @@ def span_set_ops(spark: SparkSession, d: str) -> DataFrame:
     return both.withColumn("side", F.lit("both")).unionByName(only_gold.withColumn("side", F.lit("gold"))).unionByName(only_pred.withColumn("side", F.lit("pred")))
 
 
-@query(f"WITH {FIXTURE_SQL} SELECT row_id, text FROM annotated WHERE row_id <= 10")
+@query("SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_id, text FROM documents ORDER BY doc_id LIMIT 100")
 def max_rows(spark: SparkSession, d: str) -> DataFrame:
-    """The row limit of the reader: rows by their number, the same in every run."""
-    return annotated(spark).where("row_id <= 10").select("row_id", "text")
+    """The row limit of the reader over the documents as JSON lines: rows by their number, the same in every run."""
+    path = f"{_folder(spark)}/rows"
+    table(spark, d, "documents").orderBy("doc_id").select(F.to_json(F.struct("text"), {"ignoreNullFields": "false"}).alias("value")).write.text(path)
+    return jsonl.read_documents(spark, path).where("row_id < 100").select("row_id", "text")
 
 
 # --- sources and sinks -----------------------------------------------------------------------------
 
-_LINES = ['{"text": "a@b.com", "entities": [{"type": "CONTATO", "value": "a@b.com"}]}', "", "[1, 2]", "42", "{bad", '{"text": "x"}', '{"entities": [], "text": "y", "k": 1}', "  "]
+# every document as a line, some of them spoilt: blank, no object, or no JSON
+_LINE = """CASE WHEN doc_id % 13 = 5 THEN '' WHEN doc_id % 17 = 2 THEN '  ' WHEN doc_id % 11 = 4 THEN '[1, 2]' WHEN doc_id % 19 = 7 THEN '42' WHEN doc_id % 7 = 3 THEN '{bad' END"""
+_LINES_SQL = f"""WITH l AS (SELECT doc_id, text, {_LINE} AS odd, CAST(row_number() OVER (ORDER BY doc_id) AS INTEGER) AS line_no FROM documents)
+SELECT line_no, CASE WHEN odd IS NULL THEN text END AS text, CASE WHEN trim(odd) = '' THEN 'blank' WHEN odd = '{{bad' THEN 'bad_json' WHEN odd IS NOT NULL THEN 'no_object' END AS problem FROM l"""
 
 
 def _folder(spark: SparkSession) -> str:
     """A folder that all executors see."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{shared.rstrip('/')}/velatura-lines-{os.getpid()}" if shared else tempfile.mkdtemp(prefix="velatura-lines-")
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{shared.rstrip('/')}/velatura-lines-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="velatura-lines-")
 
 
-def _jsonl_file(spark: SparkSession) -> str:
+def _jsonl_file(spark: SparkSession, d: str) -> str:
+    """The documents as one file of lines: line numbers are those of a file."""
     path = f"{_folder(spark)}/in"
-    spark.createDataFrame([(x,) for x in _LINES], "value string").coalesce(1).write.mode("overwrite").text(path)
+    line = F.coalesce(F.expr(_LINE), F.to_json(F.struct("text"), {"ignoreNullFields": "false"}))
+    table(spark, d, "documents").coalesce(1).sortWithinPartitions("doc_id").select(line.alias("value")).write.text(path)
     return path
 
 
-@query("""SELECT * FROM (VALUES (1, 'a@b.com', NULL), (3, NULL, 'no_object'), (4, NULL, 'no_object'), (5, NULL, 'bad_json'), (6, 'x', NULL), (7, 'y', NULL)) t(line_no, text, problem)""")
+@query(f"SELECT * FROM ({_LINES_SQL}) WHERE problem IS DISTINCT FROM 'blank'")
 def jsonl_scan(spark: SparkSession, d: str) -> DataFrame:
-    return jsonl.read_documents(spark, _jsonl_file(spark)).select("line_no", "text", "problem")
+    return jsonl.read_documents(spark, _jsonl_file(spark, d)).select("line_no", "text", "problem")
 
 
-@query("""SELECT * FROM (VALUES (1, 'a@b.com', NULL), (2, NULL, 'blank'), (3, NULL, 'no_object'), (4, NULL, 'no_object'), (5, NULL, 'bad_json'), (6, 'x', NULL), (7, 'y', NULL), (8, NULL, 'blank')) t(line_no, text, problem)""")
+@query(_LINES_SQL)
 def jsonl_strict_scan(spark: SparkSession, d: str) -> DataFrame:
-    return jsonl.read_documents(spark, _jsonl_file(spark), blank="error").select("line_no", "text", "problem")
+    return jsonl.read_documents(spark, _jsonl_file(spark, d), blank="error").select("line_no", "text", "problem")
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
