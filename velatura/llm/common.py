@@ -21,16 +21,24 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors see: the one in ``spark.checkpoint.dir``, else the one set on the context; a local session gets one of its own."""
+    sc = spark.sparkContext
+    if named := sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir():
+        return named.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="velatura-checkpoint-"))
+    return sc.getCheckpointDir().rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, its lineage cut there.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``; a folder of our
     own is set only where that is unset (a local session, as in the tests).
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if not sc.getConf().get("spark.checkpoint.dir") and not sc.getCheckpointDir():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="velatura-checkpoint-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
