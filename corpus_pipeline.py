@@ -2,18 +2,21 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again
 as the docs of the next one. All but the last keep the columns of documents.
+
+Defined cases: rows without text or words are judged, deduplicated and passed on like others (as texts without words are equal, one
+of them stays); rows without an id never go as copies of a near copy; rows that repeat an id or a text are told apart by row; very long
+texts are read whole; ties go as each operator has it; an empty table gives an empty result; extra columns are kept up to packing, whatever their names.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from velatura.llm import exact_dedup, mixing, packing, quality, simhash
-from velatura.llm.common import table
+from velatura.llm.common import shared_folder, table
 from velatura.llm.queries import site, tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -56,8 +59,7 @@ STAGES: list[tuple[str, Stage]] = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to documents; what lies between is written to the shared checkpoint folder."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="velatura-pipeline-")
-    folder = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         out = f"{folder}/{k}"
