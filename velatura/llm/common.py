@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,3 +103,24 @@ def in_batches(df: DataFrame, rows: int = 512) -> DataFrame:
     if not 0 < int(conf.get(key, "10000")) <= rows:
         conf.set(key, str(rows))
     return df
+
+
+Run = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
+
+
+def give_back() -> None:
+    """Hand the memory that this worker has freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Run) -> Run:
+    """``run``, after which the worker keeps no freed memory: it serves the tasks of many stages, and would hold the most that any of them took."""
+
+    def lean_run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from run(batches)
+        give_back()
+
+    return lean_run

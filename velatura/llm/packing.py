@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_batches
+from .common import in_batches, lean
 
 END = 2
 WINDOW = 4096
@@ -209,11 +209,12 @@ def _encoded(b: pd.DataFrame, table: WordTable, tail: bytes, most: int = 1 << 19
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end: int = END, window: int = WINDOW, lot: int = LOT, slack: int = SLACK, table: int = TABLE
+    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end: int = END, window: int = WINDOW, lot: int = LOT, slack: int = SLACK, table: int = TABLE, keep_table: bool = True
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    ``tokenizer`` is the path of a tokenizer file, the same on every executor; a worker keeps ``table`` runs of characters (about 300 bytes each).
+    ``tokenizer`` is the path of a tokenizer file, the same on every executor; a worker keeps ``table`` runs of characters (about 300 bytes each),
+    for the tasks that follow if ``keep_table``.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -260,6 +261,9 @@ def pack(
                     yield out()
         close()
         yield out()
+        if not keep_table:
+            del known
+            word_table.cache_clear()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return in_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInPandas(run, f"doc_id {kind}, {SCHEMA}")
+    return in_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInPandas(lean(run), f"doc_id {kind}, {SCHEMA}")

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, in_batches, labelled_sample, small_side
+from .common import checkpointed, give_back, in_batches, labelled_sample, lean, small_side
 
 EXAMPLES = 12_000
 _UPPER = bytes(range(65, 91))
@@ -93,7 +93,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column | None = None, id_col:
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "y": b[label], "x": [features(t) for t in b["text"]]})
 
-    rows = in_batches(texts).mapInPandas(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, y int, x array<double>").orderBy("doc_id").collect()  # ``bound`` rows of numbers
+    rows = in_batches(texts).mapInPandas(lean(run), f"doc_id {docs.schema[id_col].dataType.simpleString()}, y int, x array<double>").orderBy("doc_id").collect()  # ``bound`` rows of numbers
     y = np.array([r["y"] for r in rows], np.float64)
     if len(set(y.tolist())) < 2:
         return Classifier(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES + 1), 0.5)
@@ -132,6 +132,7 @@ def _judged(docs: DataFrame, classifier: Classifier, host: Column, path: Column,
     def evidence(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for t in texts:
             yield pd.Series(shared.value.evidence(np.array([features(x) for x in t]).reshape(-1, FEATURES)))
+        give_back()
 
     # the texts go to Python, but need not come back
     sited = in_batches(docs).withColumns({"_q_host": host.cast("string"), "_q_path": path.cast("string")})

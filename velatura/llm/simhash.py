@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, in_batches, join_hot, small_side, unit_hash
+from .common import checkpointed, in_batches, join_hot, lean, small_side, unit_hash
 from .components import connected_components, tree_edges
 
 RADIUS = 3
@@ -82,7 +82,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fp})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return in_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInPandas(run, f"doc_id {kind}, fp long")
+    return in_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInPandas(lean(run), f"doc_id {kind}, fp long")
 
 
 # --- vantage-point trees -------------------------------------------------------------------------
@@ -227,7 +227,7 @@ def links(nodes: DataFrame, sample: int = SAMPLE, shard: int = SHARD) -> DataFra
         src, dst = shard_links(b["fp"].to_numpy(np.int64).view(np.uint64), b["home"].to_numpy(bool), _MASKS[int(key[0]) % 2])
         return pd.DataFrame({"src": node[src], "dst": node[dst]})
 
-    spread = nodes.mapInPandas(visits, "shard long, home boolean, fp long, node long")
+    spread = nodes.mapInPandas(lean(visits), "shard long, home boolean, fp long, node long")
     return spread.groupBy("shard").applyInPandas(search, "src long, dst long")
 
 
@@ -277,7 +277,7 @@ def _marks(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
             hashes = [shingle_hashes(t, shingle) for t in b["text"]]
             yield pd.DataFrame({"doc_id": b["doc_id"], "fp": np.array([majority(h) for h in hashes], np.uint64).view(np.int64), "keys": [band_keys(h) for h in hashes]})
 
-    return in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).mapInPandas(run, "doc_id long, fp long, keys array<long>")
+    return in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).mapInPandas(lean(run), "doc_id long, fp long, keys array<long>")
 
 
 def buckets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
@@ -308,7 +308,7 @@ def _sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shing
             yield pd.DataFrame({"_id": b["_id"], "digest": [xxhash.xxh3_128_digest(g) for g in grams], "grams": grams})
 
     ids = checkpointed(members.select(F.col("doc_id").alias("_id")).distinct())
-    return checkpointed(in_batches(_texts(docs, ids, id_col, text_col)).mapInPandas(run, "_id long, digest binary, grams binary"))
+    return checkpointed(in_batches(_texts(docs, ids, id_col, text_col)).mapInPandas(lean(run), "_id long, digest binary, grams binary"))
 
 
 def _head_links(members: DataFrame, sets: DataFrame, least: float, piece: int = 512) -> DataFrame:
@@ -337,7 +337,7 @@ def _head_links(members: DataFrame, sets: DataFrame, least: float, piece: int =
                     out.append((i, b))
             yield pd.DataFrame(out, columns=["src", "dst"], dtype="int64")
 
-    return in_batches(visits).mapInPandas(like, "src long, dst long")
+    return in_batches(visits).mapInPandas(lean(like), "src long, dst long")
 
 
 def block_links(left: list[np.ndarray], right: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -429,7 +429,7 @@ def _pair_links(members: DataFrame, label: DataFrame, found: DataFrame, least: f
         if piece:
             yield pd.DataFrame(near(piece), columns=["src", "dst"], dtype="int64")
 
-    links = in_batches(visits).mapInPandas(compare, "src long, dst long")
+    links = in_batches(visits).mapInPandas(lean(compare), "src long, dst long")
     return links.unionByName(same.where("doc_id <> rep").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst")))
 
 
