@@ -44,8 +44,8 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents in sequences of at most 4096 tokens."""
-    # executors still hold what earlier stages took, so workers keep a smaller table of words here
-    return packing.pack(docs, tokenizer_path(), table=60_000)
+    # executors still hold what earlier stages took, so workers keep a smaller table of words here, and none between tasks
+    return packing.pack(docs, tokenizer_path(), table=60_000, keep_table=False)
 
 
 STAGES: list[tuple[str, Stage]] = [
