@@ -91,3 +91,32 @@ def test_equal_texts_get_equal_scores(spark):
     out = toxicity.score(table(spark, [(i, rows[0][1], "a") for i in range(20)]), index)
     assert out.select("score").distinct().count() == 1
     assert out.agg(F.countDistinct("predicted")).first()[0] == 1
+
+
+def test_a_bound_on_the_light_terms_is_never_passed():
+    r = np.random.default_rng(5)
+    for _ in range(3000):
+        q, e = np.abs(r.normal(0, 1, (2, 6)))
+        q[3:] *= r.choice([1e-4, 0.01, 0.05])
+        e = q + r.choice([0, 0.001, 0.1, 1.0]) * e
+        q, e = q / np.linalg.norm(q), e / np.linalg.norm(e)
+        rest = float(np.linalg.norm(q[3:]))
+        assert q[:3] @ e[:3] >= toxicity._least(min(float(q @ e), 1.0), rest)
+
+
+def test_few_whole_vectors_are_read():
+    """Examples that differ from the text in its heavy terms are left out by these, though the light terms weigh 0.04."""
+    light = {f"c{k}".encode(): 1 for k in range(4)}
+    examples = [{b"a": 10_000, b"b": 10_000 - i} | light for i in range(40)] + [{b"a": 10_000, b"b": 168 + i % 100} | light for i in range(360)]
+    examples += [{f"f{i}".encode(): 3} | light for i in range(3000)]
+    index = toxicity.Index((i, 0, list(c), list(c.values())) for i, c in enumerate(examples))
+    read, ranked = [], index._ranked
+
+    def count(*args):
+        out = ranked(*args)
+        read.append(len(out[0]))
+        return out
+
+    index._ranked = count
+    near = index.nearest(index.vector(examples[0]))
+    assert sum(read) <= 40 and len(near) == 15 and {index.ids[k] for _, k in near} <= set(range(40))

@@ -28,6 +28,7 @@ import pickle
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -67,7 +68,16 @@ def _ranges(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """All numbers of the ranges in a row, and the range of each."""
     size = stop - start
     of = np.repeat(np.arange(len(size)), size)
-    return np.arange(len(of)) + np.repeat(start - np.r_[0, np.cumsum(size)[:-1]] if len(size) else start, size), of
+    return np.arange(len(of)) + (start - np.cumsum(size) + size)[of], of
+
+
+def _least(floor: float, rest: float) -> float:
+    """The cosine over a text's heavy terms below which an example cannot reach ``floor`` over all, if the light ones have the length ``rest``.
+
+    The more of an example's length lies in the heavy terms, the less is left for the light ones: the two angles add up.
+    """
+    length = math.sqrt(1 - rest * rest)
+    return length * (length * floor - rest * math.sqrt(max(1 - floor * floor, 0.0) + 1e-6)) - 1e-6
 
 
 class Index:
@@ -134,75 +144,81 @@ class Index:
 
     def vector(self, counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
         """(terms, weights) of a text, the heaviest first."""
-        get = self.vocabulary.get
-        at = np.fromiter((get(w, -1) for w in counts), np.int64, len(counts))
-        n = np.fromiter(counts.values(), np.float64, len(counts))[at >= 0]
-        at = at[at >= 0]
-        q = self.unit(at, n)
+        at = np.array(list(map(self.vocabulary.get, counts, repeat(-1))), np.int64)
+        n = np.array(list(counts.values()), np.float64)
+        known = np.flatnonzero(at >= 0)
+        at = at[known]
+        q = self.unit(at, n[known])
         order = np.lexsort((at, -q))
         return at[order], q[order]
 
     def nearest(self, vector: tuple[np.ndarray, np.ndarray], k: int = NEAREST, leave: int = -1) -> list[tuple[float, int]]:
         """The k examples of largest cosine above 0, (cosine, place), ties by place; example ``leave`` is left out.
 
-        Blocks and examples are first ranked by the text's heavy terms; what its light ones can add to a cosine is at
-        most their length (``rest``). Examples within that of the k-th best are computed from their whole vectors.
+        Blocks and examples are first ranked by the text's heavy terms; the length of its light ones (``rest``) bounds what these
+        can add. Examples that could be among the k best are computed from their whole vectors.
         """
         at, q = vector
         if not len(at):
             return []
         if self._dense is None:
             self._invert()
-        lengths = np.sqrt(np.append(np.cumsum((q * q)[::-1])[::-1], 0.0))  # of the terms from each place on
-        heavy = int(np.argmax(lengths <= LIGHT))
-        score, place, floor = self._ranked(at[:heavy], q[:heavy], lengths[heavy], k, leave)
-        if heavy < len(at) and floor <= lengths[heavy]:  # an example without a heavy term might be among the nearest
-            score, place, floor = self._ranked(at, q, 0.0, k, leave)
-            heavy = len(at)
-        place = place[score >= floor - lengths[heavy] - 1e-6]
+        left = np.cumsum((q * q)[::-1])[::-1]  # squared length of the terms from each place on
+        heavy = int(np.count_nonzero(left > LIGHT * LIGHT))
+        rest = math.sqrt(left[heavy]) if heavy < len(at) else 0.0
+        place, floor = self._ranked(at[:heavy], q[:heavy], rest, k, leave)
+        if heavy < len(at) and floor <= rest:  # an example without a heavy term might be among the nearest
+            place, _ = self._ranked(at, q, 0.0, k, leave)
+        if not len(place):
+            return []
+        spans = list(zip(self.begin[place].tolist(), self.begin[place + 1].tolist()))
         self._dense[at] = q
-        post, of = _ranges(self.begin[place], self.begin[place + 1])
-        exact = np.bincount(of, self._dense[self.term[post]] * self.own[post], minlength=len(place))
+        product = self._dense[np.concatenate([self.term[a:z] for a, z in spans])]
+        product *= np.concatenate([self.own[a:z] for a, z in spans])
         self._dense[at] = 0
+        exact = np.add.reduceat(product, np.cumsum([0] + [z - a for a, z in spans[:-1]]))  # none is empty: it has a term of the text
         best = np.lexsort((place, -np.round(exact, 12)))[:k]
-        return [(float(exact[i]), int(place[i])) for i in best]
-
-    def _ranked(self, at: np.ndarray, q: np.ndarray, rest: float, k: int, leave: int) -> tuple[np.ndarray, np.ndarray, float]:
-        """(score, place) by the terms ``at`` of all examples that ``rest`` more could bring among the k best, and the k-th best score."""
-        cells = list(zip(self.cells[at].tolist(), self.cells[at + 1].tolist(), q.tolist()))
-        bound = np.zeros(self.blocks)
-        for a, z, w in cells:  # a term has a block once, so slices can be added
-            bound[self.block[a:z]] += w * self.most[a:z]
+        return list(zip(exact[best].tolist(), place[best].tolist()))
+
+    def _ranked(self, at: np.ndarray, q: np.ndarray, rest: float, k: int, leave: int) -> tuple[np.ndarray, float]:
+        """Places by the terms ``at`` of all examples that ``rest`` more could bring among the k best, and the k-th best score."""
+        cell, of = _ranges(self.cells[at], self.cells[at + 1])
+        block, weight = self.block[cell], q[of]
+        bound = np.bincount(block, weight * self.most[cell], minlength=self.blocks)
         order = np.argsort(-bound, kind="stable")
-        score = self._in_blocks(at, q, order[:SEED])
-        floor = self._kth(score, k, leave)
-        live = order[bound[order] >= max(floor - rest - 1e-6, 1e-300)]
+        blocks = order[:SEED]
+        score = self._in_blocks(cell, block, weight, blocks, leave)
+        floor = self._kth(score, k)
+        live = order[bound[order] >= max(_least(floor, rest), 1e-300)]
         if len(live) > SEED:
             if 4 * len(live) < self.blocks:
-                score = self._in_blocks(at, q, live)
+                blocks = live
+                score = self._in_blocks(cell, block, weight, blocks, leave)
             else:
-                score = np.zeros(len(self.ids))
-                for a, z, w in cells:
-                    a, z = self.first[a], self.first[z]
-                    score[self.place[a:z]] += w * self.weight[a:z]
-            floor = self._kth(score, k, leave)
-        place = np.flatnonzero(score > max(floor - rest - 1e-6, 0.0))
-        place = place[place != leave]
-        return score[place], place, floor
-
-    def _in_blocks(self, at: np.ndarray, q: np.ndarray, blocks: np.ndarray) -> np.ndarray:
-        """Scores by the terms ``at`` of the examples of some blocks, 0 for the others."""
-        cell, of = _ranges(self.cells[at], self.cells[at + 1])
-        wanted = np.zeros(self.blocks, bool)
-        wanted[blocks] = True
-        own = np.flatnonzero(wanted[self.block[cell]])
-        post, c = _ranges(self.first[cell[own]], self.first[cell[own] + 1])
-        return np.bincount(self.place[post], q[of[own[c]]] * self.weight[post], minlength=len(self.ids))
+                blocks = np.arange(self.blocks)
+                score = np.zeros(self.blocks * BLOCK)
+                for a, z, w in zip(self.first[self.cells[at]].tolist(), self.first[self.cells[at + 1]].tolist(), q.tolist()):
+                    score[self.place[a:z]] += w * self.weight[a:z]  # a term has an example once, so slices can be added
+                if leave >= 0:
+                    score[leave] = 0.0
+            floor = self._kth(score, k)
+        found = np.flatnonzero(score > max(_least(floor, rest), 0.0))
+        return blocks[found // BLOCK] * BLOCK + found % BLOCK, floor
+
+    def _in_blocks(self, cell: np.ndarray, block: np.ndarray, weight: np.ndarray, blocks: np.ndarray, leave: int) -> np.ndarray:
+        """Scores of the examples of some blocks, ``BLOCK`` for each in their order, by the cells of a text's terms, which lie in ``block`` and have its ``weight``."""
+        begin = np.full(self.blocks, -1)
+        begin[blocks] = np.arange(0, len(blocks) * BLOCK, BLOCK)
+        own = np.flatnonzero(begin[block] >= 0)
+        post, of = _ranges(self.first[cell[own]], self.first[cell[own] + 1])
+        own = own[of]
+        score = np.bincount(begin[block[own]] + self.place[post] % BLOCK, weight[own] * self.weight[post], minlength=len(blocks) * BLOCK)
+        if leave >= 0 and begin[leave // BLOCK] >= 0:
+            score[begin[leave // BLOCK] + leave % BLOCK] = 0.0
+        return score
 
     @staticmethod
-    def _kth(score: np.ndarray, k: int, leave: int) -> float:
-        if leave >= 0:
-            score[leave] = 0.0
+    def _kth(score: np.ndarray, k: int) -> float:
         score = score[score > 0]
         return float(np.partition(score, len(score) - k)[len(score) - k]) if len(score) >= k else 0.0
 
