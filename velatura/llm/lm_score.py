@@ -334,7 +334,7 @@ def score(encoded: DataFrame, counts: DataFrame, vocab: Vocabulary, net: Network
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     net_part = in_batches(encoded.select("_row", "doc_id", "tokens", "part")).mapInPandas(run, f"_row long, doc_id {kind}, n_tokens long, sum double")
-    of_entry = encoded.sparkSession.createDataFrame([(k, float(vocab.totals[1 + OWN + k])) for k in range(SHARED)], "k long, total double")
+    of_entry = encoded.sparkSession.createDataFrame([(k, float(n)) for k, n in enumerate(vocab.totals[1 + OWN :]) if n > 0], "k long, total double")  # an entry of own words only has none
     known = counts.join(F.broadcast(of_entry), F.pmod("h", F.lit(SHARED)) == F.col("k")).select(F.col("h").alias("_h"), F.log(F.col("n") / F.col("total")).alias("_log"))
     rare = encoded.select("_row", F.explode("rare").alias("_rare")).join(known, F.col("_rare") == F.col("_h"))
     rare = rare.groupBy(F.col("_row").alias("_r")).agg(F.sum("_log").alias("_words"))
