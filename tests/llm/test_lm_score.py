@@ -60,6 +60,45 @@ def test_gradient_is_that_of_finite_differences():
         assert abs(abs(loss[0] - loss[1]) / 2e-2 - math.sqrt(seen.view[name][place])) < 2e-3, name
 
 
+def test_learning_makes_no_log_probabilities(monkeypatch):
+    """A step needs the probabilities only; their logarithms at every target were a part of its time."""
+    tokens = np.tile([5, 900, 33, 410], 50).astype(np.uint16)
+    net, squares = lm.Network.fresh(np.ones(lm.CLASSES * lm.WIDTH)), lm.Network(np.full(lm.Network.size(), 1e-6, np.float32))
+    before = net.flat.copy()
+    monkeypatch.setattr(lm.Network, "forward", None)
+    net.learn(tokens, np.arange(2, 190), squares)
+    assert (net.flat != before).any()
+
+
+def test_the_whole_gradient_matches_a_plain_one():
+    r = np.random.default_rng(6)
+    tokens = (r.zipf(1.3, 900) % (lm.CLASSES * lm.WIDTH)).astype(np.uint16)  # some entries often, some once
+    at = r.permutation(np.arange(2, 898))
+    net = lm.Network(r.normal(0, 0.3, lm.Network.size()).astype(np.float32))
+    seen, step = lm.Network(np.zeros(lm.Network.size(), np.float32)), lm.Network(net.flat.copy())
+    step.learn(tokens, at, seen, rate=0.0)
+    v = {k: x.astype(np.float64) for k, x in net.view.items()}
+    g = {k: np.zeros_like(x) for k, x in v.items()}
+    for i in at:
+        near = [int(tokens[i + p]) for p in (-2, -1, 1, 2)]
+        h = np.tanh(v["b"] + sum(v["T"][k][x] for k, x in enumerate(near)))
+        c, e = divmod(int(tokens[i]), lm.WIDTH)
+        dc, dw = np.exp(h @ v["C"] + v["c"]), np.exp(h @ v["W"][c] + v["w"][c])
+        dc, dw = dc / dc.sum() / len(at), dw / dw.sum() / len(at)
+        dc[c] -= 1 / len(at)
+        dw[e] -= 1 / len(at)
+        dh = (v["C"] @ dc + v["W"][c] @ dw) * (1 - h * h)
+        g["C"] += np.outer(h, dc)
+        g["c"] += dc
+        g["W"][c] += np.outer(h, dw)
+        g["w"][c] += dw
+        g["b"] += dh
+        for k, x in enumerate(near):
+            g["T"][k][x] += dh
+    for name, x in g.items():
+        assert np.allclose(np.sqrt(seen.view[name]), np.abs(x), rtol=1e-3, atol=1e-6), name
+
+
 def _rows(df):
     out = {}
     for r in df.collect():

@@ -28,6 +28,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -104,7 +105,7 @@ class Vocabulary:
         def encode(text: str | None) -> tuple[np.ndarray, float, np.ndarray]:
             own = words(text)
             get = place.get
-            at = np.fromiter((get(w, -1) for w in own), np.int64, len(own))
+            at = np.array(list(map(get, own, repeat(-1))), np.int64)
             unknown = np.flatnonzero(at < 0)
             h = np.array([hashed(own[i]) for i in unknown.tolist()], np.int64)
             out = np.empty(len(own), np.uint16)
@@ -165,8 +166,11 @@ class Network:
         net.view["w"][:] = np.log(share / share.sum(axis=1, keepdims=True))
         return net
 
-    def forward(self, tokens: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, dict]:
-        """Log probabilities of the entries at the places ``at``, and what learning needs."""
+    def _outputs(self, tokens: np.ndarray, at: np.ndarray) -> dict:
+        """The exponentials of all logits at the places ``at``, class by class, with their sums.
+
+        The hidden layer has a last column of ones, so that a product adds the biases, and in ``learn`` sums their gradients.
+        """
         v = self.view
         y = tokens[at].astype(np.int64)
         order = np.argsort((y // WIDTH).astype(np.uint8), kind="stable")  # the places of a class stand together from here on
@@ -174,58 +178,69 @@ class Network:
         group, inner = np.divmod(y, WIDTH)
         ends = np.searchsorted(group, np.arange(CLASSES + 1))
         x = [tokens[at + p] for p in _PLACES]
-        h = v["T"][0][x[0]]
+        h = v["T"][0].take(x[0], axis=0)  # rows by take: a third of the time of an index
         for k in range(1, len(_PLACES)):
-            h += v["T"][k][x[k]]
+            h += v["T"][k].take(x[k], axis=0)
         h += v["b"]
-        np.tanh(h, out=h)
-        pc = np.exp(h @ v["C"] + v["c"])  # |h| <= 1, so this stays in range
-        pc /= pc.sum(axis=1, keepdims=True)
+        h1 = np.ones((len(at), HIDDEN + 1), np.float32)
+        np.tanh(h, out=h1[:, :HIDDEN])
+        pc = h1 @ np.concatenate([v["C"], v["c"][None]])
+        np.exp(pc, out=pc)  # |h| <= 1, so this stays in range
+        w1 = np.concatenate([v["W"], v["w"][:, None]], axis=1)
         pw = np.empty((len(at), WIDTH), np.float32)
         for g in range(CLASSES):
             a, z = ends[g], ends[g + 1]
             if a < z:
-                np.matmul(h[a:z], v["W"][g], out=pw[a:z])
-                pw[a:z] += v["w"][g]
+                np.matmul(h1[a:z], w1[g], out=pw[a:z])
         np.exp(pw, out=pw)
-        pw /= pw.sum(axis=1, keepdims=True)
+        sc, sw = pc @ np.ones(CLASSES, np.float32), pw @ np.ones(WIDTH, np.float32)
+        return {"order": order, "x": x, "h1": h1, "pc": pc, "pw": pw, "sc": sc, "sw": sw, "group": group, "inner": inner, "ends": ends}
+
+    def forward(self, tokens: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, dict]:
+        """Log probabilities of the entries at the places ``at``, and what they were made of."""
+        s = self._outputs(tokens, at)
         n = np.arange(len(at))
         logp = np.empty(len(at))
-        logp[order] = np.log(np.maximum(pc[n, group], 1e-30)) + np.log(np.maximum(pw[n, inner], 1e-30))
-        return logp, {"x": x, "h": h, "pc": pc, "pw": pw, "group": group, "inner": inner, "ends": ends}
+        logp[s["order"]] = np.log(np.maximum(s["pc"][n, s["group"]] / s["sc"], 1e-30)) + np.log(np.maximum(s["pw"][n, s["inner"]] / s["sw"], 1e-30))
+        return logp, s
 
     def learn(self, tokens: np.ndarray, at: np.ndarray, squares: Network, rate: float = 0.1) -> None:
         """One Adagrad step on the places ``at``; of the tables only the rows met are touched."""
-        _, s = self.forward(tokens, at)
+        s = self._outputs(tokens, at)
         v, q = self.view, squares.view
         n, share = np.arange(len(at)), np.float32(1 / len(at))
-        dc, dw, h = s["pc"], s["pw"], s["h"]
+        dc, dw, h1 = s["pc"], s["pw"], s["h1"]
+        dc /= s["sc"][:, None]
+        dw /= s["sw"][:, None]
         dc[n, s["group"]] -= 1
         dw[n, s["inner"]] -= 1
         dc *= share
         dw *= share
         dh = dc @ v["C"].T
-        gw, gb = np.zeros_like(v["W"]), np.zeros_like(v["w"])
+        gw = np.zeros((CLASSES, HIDDEN + 1, WIDTH), np.float32)
         for k in range(CLASSES):
             a, z = s["ends"][k], s["ends"][k + 1]
             if a < z:
                 dh[a:z] += dw[a:z] @ v["W"][k].T
-                np.matmul(h[a:z].T, dw[a:z], out=gw[k])
-                gb[k] = dw[a:z].sum(axis=0)
+                np.matmul(h1[a:z].T, dw[a:z], out=gw[k])
+        gc = h1.T @ dc
+        h = h1[:, :HIDDEN]
         dh *= 1 - h * h
-        for name, g in (("C", h.T @ dc), ("c", dc.sum(axis=0)), ("b", dh.sum(axis=0)), ("W", gw), ("w", gb)):
+        for name, g in (("C", gc[:HIDDEN]), ("c", gc[HIDDEN]), ("b", np.ones(len(at), np.float32) @ dh), ("W", gw[:, :HIDDEN]), ("w", gw[:, HIDDEN])):
             q[name][...] += g * g
             v[name][...] -= rate * g / (np.sqrt(q[name]) + 1e-6)
             # so no logit passes 3 * HIDDEN + 12 = 84, and exp(84) is a float
             np.clip(v[name], *((-3, 3) if name in "CW" else (-12, 12)), out=v[name])
         for k, x in enumerate(s["x"]):
             order = np.argsort(x, kind="stable")
-            own = x[order]
-            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            rows, g = own[first], np.add.reduceat(dh[order], first, axis=0)
-            total = q["T"][k][rows] + g * g
+            own = x.take(order)
+            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            rows = own.take(first)
+            # two columns at a time, as one complex number
+            g = np.add.reduceat(dh.take(order, axis=0).view(np.complex64), first, axis=0).view(np.float32)
+            total = q["T"][k].take(rows, axis=0) + g * g
             q["T"][k][rows] = total
-            v["T"][k][rows] = np.clip(v["T"][k][rows] - rate * g / (np.sqrt(total) + 1e-6), -12, 12)
+            v["T"][k][rows] = np.clip(v["T"][k].take(rows, axis=0) - rate * g / (np.sqrt(total) + 1e-6), -12, 12)
 
 
 def padded(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
