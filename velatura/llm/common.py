@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.batches import in_batches
+
 #: A word of the op contracts: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -94,17 +96,6 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, size: str, n: int, by:
     return both.select(*left.columns, *[F.coalesce(f"_jh_{c}", f"_jc_{c}").alias(c) for c in rest])
 
 
-def in_batches(df: DataFrame, rows: int = 512) -> DataFrame:
-    """``df``, to be handed to Python in batches of at most ``rows`` rows.
-
-    Spark's default of 10,000 rows a batch is 1.2 GB of texts of 120 KB; the session's setting is only ever lowered.
-    """
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key, "10000")) <= rows:
-        conf.set(key, str(rows))
-    return df
-
-
 Run = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 

@@ -7,14 +7,16 @@ a sequence. Windows lie on a fixed grid, so each is worked out on its own, JVM-s
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.batches import in_batches
 from ..functions.text import SENTENCE_END, TOKEN
 
 SPECIALS = 2
@@ -22,39 +24,74 @@ TOKENS = "starts array<int>, ends array<int>, flags array<int>, origin array<int
 #: Bits of a token's flag: its end is a word boundary; its last character ends a sentence.
 BOUNDARY, SENTENCE = 1, 2
 
+#: Tokens of a batch of arrays at most, or one text if that has more.
+BATCH_TOKENS = 1 << 17
+
 _TOKEN = regex.compile(TOKEN)
 _WORDS = {"'", "’", "-", "_"}
 
 
-def _arrays(text: str | None) -> tuple[list[int], list[int], list[int], list[int]]:
-    """Starts, ends, flags, and the token where the word run that ends at each token's start begins."""
-    starts, ends, wordly, last = [], [], [], []
+def _last_characters(text: str, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the characters before ``ends`` whether they belong to words, and whether they end sentences; each kind is looked at once."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")[ends - 1]
+    kinds, at = np.unique(codes, return_inverse=True)
+    chars = [chr(k) for k in kinds]
+    return np.array([c.isalnum() or c in _WORDS for c in chars], bool)[at], np.array([c in SENTENCE_END for c in chars], bool)[at]
+
+
+def offsets(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of a text's tokens."""
+    starts, ends = array("i"), array("i")  # four bytes a token, however long the text
     for m in _TOKEN.finditer(text or ""):
         a, b = m.span()
         starts.append(a)
         ends.append(b)
-        c = text[b - 1]
-        wordly.append(c.isalnum() or c in _WORDS)
-        last.append(c in SENTENCE_END)
-    if not starts:
-        return [], [], [], []
-    s, e, w, z = np.array(starts), np.array(ends), np.array(wordly), np.array(last)
+    return np.asarray(starts), np.asarray(ends)
+
+
+def _token_arrays(text: str | None) -> tuple[np.ndarray, ...]:
+    """Starts, ends, flags, and the token where the word run that ends at each token's start begins."""
+    s, e = offsets(text)
+    if not len(s):
+        return s, e, s, s
+    w, z = _last_characters(text, e)
     glued = np.r_[False, s[1:] == e[:-1]]  # to the token before
     split = np.r_[glued[1:] & w[1:] & w[:-1], False]  # the end lies inside a word run
     at = np.arange(len(s))
     run = np.maximum.accumulate(np.where(glued & np.r_[False, w[:-1]], 0, at))  # first token of what lies glued to the left, all words
-    return s.tolist(), e.tolist(), (~split * BOUNDARY + z * SENTENCE).tolist(), run.tolist()
+    return s, e, ~split * BOUNDARY + z * SENTENCE, run
+
+
+def _arrays(text: str | None) -> tuple[list[int], ...]:
+    return tuple(x.tolist() for x in _token_arrays(text))
+
+
+def in_lists(rows: Iterable[tuple[np.ndarray, ...]], names: list[str]) -> Iterator[pa.Array]:
+    """Structs of lists from the arrays of texts, in batches of about ``BATCH_TOKENS`` tokens, so that a worker holds no more than that of them."""
+    held, size = [], 0
+
+    def batch() -> pa.Array:
+        at = pa.array(np.cumsum([0, *(len(r[0]) for r in held)]), pa.int32())
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(at, pa.array(np.concatenate(x), pa.int32())) for x in zip(*held)], names)
+
+    for r in rows:
+        held.append(r)
+        size += len(r[0])
+        if size >= BATCH_TOKENS:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
 
 
 def tokenize(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` with the arrays ``starts``, ``ends``, ``flags``, ``origin`` of its texts' tokens; null texts have none."""
 
-    @F.pandas_udf(f"struct<{', '.join(x.strip().replace(' ', ':', 1) for x in TOKENS.split(','))}>")
-    def arrays(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for t in texts:
-            yield pd.DataFrame([_arrays(x) for x in t], columns=["starts", "ends", "flags", "origin"])
+    @F.arrow_udf(f"struct<{', '.join(x.strip().replace(' ', ':', 1) for x in TOKENS.split(','))}>")
+    def arrays(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from in_lists((_token_arrays(x.as_py()) for t in texts for x in t), ["starts", "ends", "flags", "origin"])
 
-    return df.withColumn("_tok", arrays(F.col(text_col))).select(*df.columns, "_tok.*")
+    return in_batches(df).withColumn("_tok", arrays(F.col(text_col))).select(*df.columns, "_tok.*")
 
 
 def token_rows(tokenized: DataFrame, *keys: str) -> DataFrame:
