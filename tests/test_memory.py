@@ -1,6 +1,7 @@
 """What a worker or a task holds at once does not grow with the table."""
 
 import json
+import os
 import random
 import time
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from velatura.functions import taxonomy as tax
 from velatura.operators import evaluate, spans, tokens
+from velatura.plans import queries
 
 
 def test_token_arrays_leave_in_bounded_batches():
@@ -129,3 +131,21 @@ def test_resolving_does_not_copy_all_kept_spans_at_each(spark):
 
     seconds(1000)
     assert seconds(60_000) < 3 + 8 * seconds(15_000)  # 16 times as long where each step copies all before it
+
+
+def test_lines_of_many_files_are_numbered_as_of_one(spark, tmp_path, monkeypatch):
+    texts = [(i, None if i % 9 == 4 else f"t{i}") for i in range(400)]
+    spark.createDataFrame(texts, "doc_id long, text string").repartition(7).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which would make one part of so few rows
+    try:
+        path = queries._jsonl_file(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = [p for p in os.listdir(path.removeprefix("file:")) if p.startswith("part")]
+    assert len(parts) > 1  # no task writes or reads all of them
+    monkeypatch.setattr(queries, "_jsonl_file", lambda spark, d: path)
+    got = {r["line_no"]: (r["text"], r["problem"]) for r in queries.jsonl_strict_scan(spark, str(tmp_path)).collect()}
+    assert sorted(got) == list(range(1, 401))
+    assert all(got[i + 1][0] == t for i, t in texts if got[i + 1][1] is None) and got[6][1] == "blank"
+    fewer = {r["line_no"]: (r["text"], r["problem"]) for r in queries.jsonl_scan(spark, str(tmp_path)).collect()}
+    assert fewer == {k: v for k, v in got.items() if v[1] != "blank"}

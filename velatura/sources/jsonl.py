@@ -23,16 +23,18 @@ def _bare(line: Column) -> Column:
     return F.regexp_replace(line, r"^[\x09-\x0D\x20]+|[\x09-\x0D\x20]+$", "")
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
+def lines(spark: SparkSession, path: str, through: bool = False) -> DataFrame:
     """(line_no, row_id, line): the lines of text files, numbered from 1 within each file, and from 0 over all lines that are not blank.
 
+    With ``through`` lines are numbered on from file to file, in the order of their names, as if they were one file.
+
     Lines are counted within the blocks that tasks read, and blocks (one row each) are summed up in the order of files and offsets.
     """
     raw = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"))
     raw = raw.withColumn("_m", F.monotonically_increasing_id()).withColumn("_full", (_bare(F.col("line")) != "").cast("long"))
     blocks = raw.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_n"), F.sum("_full").alias("_rows"))
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    in_file, in_all = before(Window.partitionBy("_f").orderBy("_b")), before(Window.orderBy("_f", "_b"))
+    in_file, in_all = before(Window.orderBy("_f", "_b") if through else Window.partitionBy("_f").orderBy("_b")), before(Window.orderBy("_f", "_b"))
     blocks = blocks.select("_f", "_b", F.coalesce(F.sum("_n").over(in_file), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_rows").over(in_all), F.lit(0)).alias("_r0"))
     up_to = Window.partitionBy("_f", "_b").orderBy("_m").rowsBetween(Window.unboundedPreceding, 0)
     counted = raw.withColumn("_i", F.count(F.lit(1)).over(up_to)).withColumn("_r", F.sum("_full").over(up_to)).join(blocks, ["_f", "_b"])
@@ -50,9 +52,9 @@ def parsed(raw: DataFrame, schema: str = DOCUMENT, blank: str = "skip") -> DataF
     return rows.withColumn("problem", problem).withColumn("_r", F.when(F.col("problem").isNull(), record)).select("line_no", "row_id", "line", "_r.*", "problem")
 
 
-def read_documents(spark: SparkSession, path: str, schema: str = DOCUMENT, strict: bool = False, blank: str = "skip") -> DataFrame:
-    """Documents of a JSON lines file, with ``line_no`` and ``problem``; ``strict`` stops at the first problem met."""
-    rows = parsed(lines(spark, path), schema, blank)
+def read_documents(spark: SparkSession, path: str, schema: str = DOCUMENT, strict: bool = False, blank: str = "skip", through: bool = False) -> DataFrame:
+    """Documents of a JSON lines file, with ``line_no`` and ``problem``; ``strict`` stops at the first problem met, ``through`` is that of ``lines``."""
+    rows = parsed(lines(spark, path, through), schema, blank)
     if strict:
         stop = F.when(F.col("problem").isNotNull(), F.raise_error(F.format_string("line %d: %s", "line_no", "problem"))).otherwise(F.col("line_no"))
         return rows.withColumn("line_no", stop.cast("int")).drop("problem")
